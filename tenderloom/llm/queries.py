@@ -13,6 +13,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return requirement_groups(table(spark, d, "requirements"), table(spark, d, "verdicts"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.near_sets import near_requirements_and_extractions
+
+    return near_requirements_and_extractions(table(spark, d, "requirements"), table(spark, d, "extractions"))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
 
 SQL: dict[str, str] = {}
