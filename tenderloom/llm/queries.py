@@ -19,6 +19,28 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_requirements_and_extractions(table(spark, d, "requirements"), table(spark, d, "extractions"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.pieces import oversized
+
+    return oversized(table(spark, d, "chunks"))
+
+
+def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.pieces import oversized_pieces
+
+    return oversized_pieces(table(spark, d, "chunks"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("doc_id", "item_id")
+
+
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.leaks import leaks
+
+    return leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks}
 
 SQL: dict[str, str] = {}
