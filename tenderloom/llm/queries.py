@@ -41,6 +41,18 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.lookalike import same_to_a_reader
+
+    return same_to_a_reader(table(spark, d, "chunks"))
+
+
+def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.lookalike import canonical_chunks
+
+    return canonical_chunks(table(spark, d, "chunks")).selectExpr("chunk_id", "md5(canonical) as form", "n_forms")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p8_leaks)}
 
 SQL: dict[str, str] = {}
