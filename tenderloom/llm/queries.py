@@ -53,6 +53,18 @@ def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
     return canonical_chunks(table(spark, d, "chunks")).selectExpr("chunk_id", "md5(canonical) as form", "n_forms")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p8_leaks)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.shared_spans import shared_chars
+
+    return shared_chars(table(spark, d, "documents"))
+
+
+def p10_paragraph_clusters(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.shared_spans import paragraph_clusters
+
+    return paragraph_clusters(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p8_leaks, p10_found, p10_paragraph_clusters)}
 
 SQL: dict[str, str] = {}
