@@ -65,6 +65,28 @@ def p10_paragraph_clusters(spark: SparkSession, d: str) -> DataFrame:
     return paragraph_clusters(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p8_leaks, p10_found, p10_paragraph_clusters)}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_fused(spark, d).select("source_file", "item_number", "description_id", "confidence_id", "priority_id")
+
+
+def p7_fused(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.fusion import fused
+
+    return fused(table(spark, d, "requirements"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.mixing import mixture
+
+    return mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.mixing import shares
+
+    return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 SQL: dict[str, str] = {}
