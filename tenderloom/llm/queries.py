@@ -19,6 +19,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_requirements_and_extractions(table(spark, d, "requirements"), table(spark, d, "extractions"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.alignment import aligned_sentences
+
+    return aligned_sentences(table(spark, d, "requirements"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from tenderloom.llm.pieces import oversized
 
@@ -87,6 +93,6 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 SQL: dict[str, str] = {}
