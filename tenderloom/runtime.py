@@ -10,6 +10,7 @@ folder of this process is used and removed at its end.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -17,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+_SHIPPED: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,11 +32,25 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN[0]
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per session, wherever the driver was started."""
+    global _SHIPPED
+    context = spark.sparkContext
+    if _SHIPPED == context.applicationId:
+        return
+    _SHIPPED = context.applicationId
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tenderloom-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    context.addPyFile(shutil.make_archive(f"{folder}/tenderloom", "zip", os.path.dirname(here), os.path.basename(here)))
+
+
 class Cut:
     """A table written to the shared folder. ``df`` reads it, ``drop()`` deletes it once nothing reads it any more."""
 
     def __init__(self, df: DataFrame, name: str = "cut"):
         self.spark = df.sparkSession
+        ship(self.spark)
         self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
@@ -51,6 +67,8 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the test data."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
