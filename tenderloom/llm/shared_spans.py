@@ -5,9 +5,9 @@ characters only. Each paragraph is MinHashed over its five-word shingles and
 banded, with bands tuned for the similarity and recall that are asked for;
 paragraphs of different records that share a band key collide. A verbatim
 stretch of SPAN characters always contains a whole paragraph, and equal
-paragraphs collide in every band, so the windows around colliding paragraphs
-are all that an exact check has to compare: each of their SPAN-long windows
-gets a 128-bit rolling hash, and those found in two records are shared.
+paragraphs collide in every band, so the SPAN-long windows whose paragraphs
+all collide are all that an exact check has to compare: each of them gets a
+128-bit rolling hash, and those found in two records are shared.
 Groups are only ever reduced to their least and greatest record, so a passage
 in a third of all records needs no pairs.
 
@@ -176,13 +176,16 @@ def _windows(span: int):
         for batch in batches:
             for d, t, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
                 n = len(t) - span + 1
-                edge = np.zeros(n + 1, np.int64)
-                for s in spans:  # a window holds the paragraph if it begins from end - span to begin
-                    a, b = max(0, s["end"] - span), min(n - 1, s["begin"])
+                near = {s["begin"] for s in spans}
+                held, hit = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+                for begin, end in paragraphs(t):  # a window holds the paragraph if it begins from end - span to begin
+                    a, b = max(0, end - span), min(n - 1, begin)
                     if a <= b:
-                        edge[a] += 1
-                        edge[b + 1] -= 1
-                at = np.flatnonzero(np.cumsum(edge[:-1]))
+                        for edge in (held, hit) if begin in near else (held,):
+                            edge[a] += 1
+                            edge[b + 1] -= 1
+                held, hit = np.cumsum(held[:-1]), np.cumsum(hit[:-1])
+                at = np.flatnonzero((hit > 0) & (hit == held))  # a shared window's paragraphs are all shared
                 if len(at):
                     h1, h2 = window_hashes(t, span)
                     yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(np.full(len(at), d, np.int64)), pa.array(at.astype(np.int32))], names=["h1", "h2", "doc_id", "at"])
@@ -208,7 +211,7 @@ def shared_chars(documents: DataFrame, span: int = SPAN) -> DataFrame:
     bands, rows = tune_bands(1.0, 0.99)
     docs = documents.filter(F.col("doc_id").isNotNull() & (F.length("text") >= span)).select("doc_id", "text")
     keyed = Cut(docs.mapInArrow(_key_rows(bands, rows), "doc_id long, begin int, end int, band long"), "paragraphs")
-    near = keyed.df.join(_in_two(keyed.df, ["band"]), "band").groupBy("doc_id").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    near = keyed.df.join(_in_two(keyed.df, ["band"]), "band").groupBy("doc_id").agg(F.collect_set(F.struct("begin")).alias("spans"))
     texts = docs.join(near, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("spans").alias("spans"))
     windows = Cut(texts.mapInArrow(_windows(span), "h1 long, h2 long, doc_id long, at int"), "windows")
     keyed.drop()
