@@ -5,8 +5,8 @@ characters only. Each paragraph is MinHashed over its five-word shingles and
 banded, with bands tuned for the similarity and recall that are asked for;
 paragraphs of different records that share a band key collide. A verbatim
 stretch of SPAN characters always contains a whole paragraph, and equal
-paragraphs collide in every band, so the SPAN-long windows whose paragraphs
-all collide are all that an exact check has to compare: each of them gets a
+paragraphs collide in every band, so the SPAN-long windows that hold a
+colliding paragraph, and none that would have to collide but doesn't, are all that an exact check has to compare: each of them gets a
 128-bit rolling hash, and those found in two records are shared.
 Groups are only ever reduced to their least and greatest record, so a passage
 in a third of all records needs no pairs.
@@ -72,18 +72,25 @@ def winnowed(text: str) -> list[int]:
     return np.unique(np.arange(len(rows)) + WINDOW - 1 - rows.argmin(axis=1)).tolist()
 
 
-def paragraphs(text: str) -> list[tuple[int, int]]:
-    """Spans of the paragraphs of a text. Any SPAN characters that two texts share contain a whole one, at the same place of both."""
-    spans, at = [], 0
+def paragraphs(text: str) -> list[tuple[int, int, int, int]]:
+    """(begin, end, from, to) of the paragraphs of a text.
+
+    Any SPAN characters that two texts share contain a whole paragraph, at the
+    same place of both. A text that shares the characters ``from`` to ``to``
+    has this paragraph, too; both are -1 for one that depends on more than
+    those: the first, the last and parts of a long one.
+    """
+    spans, at, seen = [], 0, -1
     for m in [*END.finditer(text), None]:
         to = m.start() if m else len(text)
         if to > at:
             if to - at <= LONG:
-                spans.append((at, to))
+                spans.append((at, to, seen, m.end()) if m and seen >= 0 else (at, to, -1, -1))
             else:
                 cuts = [at, *(at + p for p in winnowed(text[at:to]) if p), to]
-                spans.extend((a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
-        at = m.end() if m else to
+                spans.extend((a, b, -1, -1) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+        if m:
+            at, seen = m.end(), m.start() - 1
     return spans
 
 
@@ -133,7 +140,7 @@ def _key_rows(bands: int, rows: int):
         for batch in batches:
             ids, begin, end, texts = [], [], [], []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for a, b in paragraphs(t):
+                for a, b, *_ in paragraphs(t):
                     ids.append(d)
                     begin.append(a)
                     end.append(b)
@@ -177,15 +184,18 @@ def _windows(span: int):
             for d, t, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
                 n = len(t) - span + 1
                 near = {s["begin"] for s in spans}
-                held, hit = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-                for begin, end in paragraphs(t):  # a window holds the paragraph if it begins from end - span to begin
-                    a, b = max(0, end - span), min(n - 1, begin)
+                hit, miss = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+                for begin, end, first, last in paragraphs(t):
+                    edge = hit
+                    if begin not in near:
+                        if first < 0:
+                            continue
+                        edge, begin, end = miss, first, last
+                    a, b = max(0, end - span), min(n - 1, begin)  # where the windows that hold it begin
                     if a <= b:
-                        for edge in (held, hit) if begin in near else (held,):
-                            edge[a] += 1
-                            edge[b + 1] -= 1
-                held, hit = np.cumsum(held[:-1]), np.cumsum(hit[:-1])
-                at = np.flatnonzero((hit > 0) & (hit == held))  # a shared window's paragraphs are all shared
+                        edge[a] += 1
+                        edge[b + 1] -= 1
+                at = np.flatnonzero((np.cumsum(hit[:-1]) > 0) & (np.cumsum(miss[:-1]) == 0))
                 if len(at):
                     h1, h2 = window_hashes(t, span)
                     yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(np.full(len(at), d, np.int64)), pa.array(at.astype(np.int32))], names=["h1", "h2", "doc_id", "at"])
@@ -244,7 +254,7 @@ def _shingle_rows(bands: int, rows: int, least_words: int):
 
 def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(d, a, t[a:b]) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for a, b in paragraphs(t)]
+        rows = [(d, a, t[a:b]) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for a, b, *_ in paragraphs(t)]
         if rows:
             d, a, t = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(t)], names=["doc_id", "begin", "text"])
