@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.operators.latest import latest
+from tenderloom.runtime import Cut
 
 # Letters of other scripts that look like a Latin letter, in the order of the second line.
 CYRILLIC, CYRILLIC_AS = "АВЕЅІЈКМНОРСТХҮԌԚԜаеѕіјорсухһԁԛԝѵӏѐёїӓӧҐ", "ABESIJKMHOPCTXYGQWaesijopcyxhdqwvlèëïäöҐ"
@@ -63,44 +64,50 @@ def tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
 
 
 def mapped(text: Column) -> Column:
-    """Column: ``text`` with look-alikes in one spelling, invisible characters dropped and line breaks as LF.
-
-    Plain ASCII texts, most of any collection, are only tested.
-    """
+    """Column: ``text`` with look-alikes in one spelling, invisible characters dropped and line breaks as LF."""
     source, target, gone, many = tables()
     out = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    for a, b in many:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    full = F.translate(out, source + gone, target)
-    return F.when(text.rlike(r"[^\x20-\x7e\n\t]"), full).otherwise(text)
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many])
+    joined = F.length(F.translate(text, "".join(a for a, _ in many), "")) < F.length(text)
+    out = F.when(joined, F.aggregate(pairs, out, lambda t, x: F.replace(t, x["a"], x["b"]))).otherwise(out)
+    return F.translate(out, source + gone, target)
+
+
+def outline(text: Column) -> Column:
+    """Column: a hash that equal forms have in common: the text without letters and all beyond ASCII, which collation may equate."""
+    return F.xxhash64(F.regexp_replace(text, r"[^\x20-\x40\n]+", ""))
 
 
 def classes(values: DataFrame, value: str) -> DataFrame:
-    """(``value``, canonical): each distinct value with the canonical member of its class.
+    """(digest, canonical, n_forms): the canonical member of each class of two or more distinct values, for each of its members.
 
-    Values are reduced to distinct ones before the collation sees them, so a
-    text in a third of all rows is one row. Nulls are left out; the empty text
-    is in the class of texts without any visible character.
+    ``values`` has ``value``, its ``digest`` and the ``outline`` of its mapped
+    form. Values are reduced to distinct ones first, so a text in a third of
+    all rows is one row, and only those whose outline another one shares are
+    collated; all others are alone in their class. Nulls are left out.
     """
-    once = values.filter(F.col(value).isNotNull()).select(value).distinct()
-    keyed = once.withColumn("_mapped", mapped(F.col(value)))
-    forms = keyed.groupBy(F.collate("_mapped", "UNICODE").alias("_form")).agg(F.min(value).alias("canonical"), F.count("*").alias("n_forms"))
-    return keyed.withColumn("_form", F.collate("_mapped", "UNICODE")).join(forms, "_form").select(value, "canonical", "n_forms")
+    outlines = values.filter("digest is not null").select("digest", "outline").distinct().groupBy("outline").agg(F.count("*").alias("_n")).filter("_n > 1").select("outline")
+    able = values.join(outlines, "outline", "left_semi").groupBy("digest").agg(F.min(value).alias(value))
+    able = able.withColumn("_form", F.collate(mapped(F.col(value)), "UNICODE"))
+    forms = able.groupBy("_form").agg(F.min(value).alias("canonical"), F.collect_list("digest").alias("members")).filter(F.size("members") > 1)
+    return forms.select("canonical", F.size("members").alias("n_forms"), F.explode("members").alias("digest"))
 
 
 def canonical_chunks(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, content, canonical, n_forms): every chunk with the one form of its content.
+    """(chunk_id, content, digest, canonical, n_forms): every chunk with the one form of its content.
 
     A redelivered ``chunk_id`` counts once. ``n_forms`` is the number of
-    different spellings of the class. Null contents have a null form.
+    different spellings of the class. Null contents have a null form; the empty
+    text has the form of texts without any visible character.
     """
-    once = latest(chunks, "chunk_id", ["loaded_at"], ["chunk_id", "content"])
-    return once.join(classes(once, "content"), "content", "left").select("chunk_id", "content", "canonical", "n_forms")
+    once = Cut(latest(chunks, "chunk_id", ["loaded_at"], ["chunk_id", "content"]).withColumns({"digest": F.md5("content"), "outline": outline(mapped(F.col("content")))}), "chunks").df
+    found = once.join(classes(once, "content"), "digest", "left")
+    return found.select("chunk_id", "content", "digest", F.coalesce("canonical", "content").alias("canonical"), F.when(F.col("content").isNotNull(), F.coalesce("n_forms", F.lit(1))).alias("n_forms"))
 
 
 def same_to_a_reader(chunks: DataFrame) -> DataFrame:
     """(a_chunk_id, b_chunk_id), smaller first: chunks whose contents differ as stored but have one canonical form."""
-    able = canonical_chunks(chunks).filter("n_forms > 1").select("chunk_id", F.md5("content").alias("stored"), F.md5("canonical").alias("form"))
-    a = able.select(F.col("chunk_id").alias("a_chunk_id"), F.col("stored").alias("a_stored"), "form")
-    b = able.select(F.col("chunk_id").alias("b_chunk_id"), F.col("stored").alias("b_stored"), "form")
-    return a.join(b, "form").filter("a_chunk_id < b_chunk_id and a_stored <> b_stored").select("a_chunk_id", "b_chunk_id")
+    able = canonical_chunks(chunks).filter("n_forms > 1").select("chunk_id", "digest", F.md5("canonical").alias("form"))
+    a = able.select(F.col("chunk_id").alias("a_chunk_id"), F.col("digest").alias("a_digest"), "form")
+    b = able.select(F.col("chunk_id").alias("b_chunk_id"), F.col("digest").alias("b_digest"), "form")
+    return a.join(b, "form").filter("a_chunk_id < b_chunk_id and a_digest <> b_digest").select("a_chunk_id", "b_chunk_id")
