@@ -95,4 +95,47 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
-SQL: dict[str, str] = {}
+_REQUIREMENTS = """requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1)"""
+_CHUNKS = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1)"""
+
+
+def _look_alike(x: str) -> str:
+    """The mapping of ``lookalike`` as SQL; NUL, which a SQL text can't hold, is left out."""
+    from tenderloom.llm.lookalike import tables
+
+    source, target, gone, many = tables()
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    x = f"replace(replace({x}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    for a, b in many:
+        x = f"replace({x}, {quote(a)}, {quote(b)})"
+    return f"nfc_normalize(translate({x}, {quote(source + gone.replace(chr(0), ''))}, {quote(target)}))"
+
+
+def _sql() -> dict[str, str]:
+    words = r"list_transform(regexp_extract_all({x}, '[\p{{L}}\p{{N}}]+'), lambda w: lower(w))"
+    return {
+        "p1_found": rf"""with recursive {_REQUIREMENTS},
+s as (select a_id as a, b_id as b from verdicts where lower(regexp_replace(relation, '^\s+|\s+$', '', 'g')) = 'same' and a_id in (select id from requirements1) and b_id in (select id from requirements1)),
+c as (select id, unnest(source_chunk_ids) as x from requirements1), m as (select x, min(id) as low from c where x is not null group by 1),
+e as (select a, b from s union select b, a from s union select id, low from c join m using (x) union select low, id from c join m using (x)),
+r(id, other) as (select id, id from requirements1 union select r.id, e.b from r join e on e.a = r.other)
+select id, min(other) as group_id from r group by 1 having count(*) > 1""",
+        "p3_found": f"with {_CHUNKS} select chunk_id from chunks1 where length(content) > 12000",
+        "p5_found": rf"""with {_REQUIREMENTS}, t as (select 'requirement' as kind, id as key, description_en as text from requirements1 union all select 'extraction', unit_key, max(bullet_point) from extractions where unit_key is not null group by unit_key),
+w as (select kind, key, list_distinct({words.format(x="text")}) as ws from t), l as (select kind, key, len(ws) as n, ws from w where len(ws) >= 6), x as (select kind, key, n, unnest(ws) as word from l)
+select a.kind, a.key as a_key, b.key as b_key from x a join x b on a.kind = b.kind and a.word = b.word and a.key < b.key group by 1, 2, 3, a.n, b.n having count(*) * 5 >= greatest(a.n, b.n) * 4""",
+        "p6_found": f"""with {_CHUNKS}, f as (select chunk_id, content, md5({_look_alike("content")}) as form from chunks1 where content is not null)
+select a.chunk_id as a_chunk_id, b.chunk_id as b_chunk_id from f a join f b on a.form = b.form and a.chunk_id < b.chunk_id and a.content <> b.content""",
+        "p7_found": rf"""with {_REQUIREMENTS}, v as (select *, regexp_replace(item_number, '^\s+|\s+$', '', 'g') as item, length(regexp_replace(description_en, '^\s+|\s+$', '', 'g')) as n from requirements1 where item_number is not null)
+select source_file, item as item_number, arg_max(id, (n, updated_at, id)) filter (where n > 0) as description_id, arg_max(id, (updated_at, id)) filter (where confidence is not null) as confidence_id,
+arg_max(id, (case confidence when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end, updated_at, id)) filter (where priority is not null) as priority_id from v group by 1, 2 having count(*) > 1""",
+        "p8_found": f"""with d as (select doc_id, {words.format(x="text")} as w from documents), i as (select item_id, {words.format(x="text")} as w from benchmark),
+g as (select item_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)), h as (select doc_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12))
+select distinct doc_id, item_id from g join h using (run)""",
+        "p10_found": """with w as (select doc_id, p, md5(text[p:p + 449]) as h from (select doc_id, text, unnest(range(1, length(text) - 448)) as p from documents where length(text) >= 450)),
+s as (select h from w group by 1 having min(doc_id) <> max(doc_id)), m as (select doc_id, p, p - lag(p) over (partition by doc_id order by p) as gap from w join s using (h))
+select doc_id, sum(case when gap is null then 450 else least(450, gap) end)::bigint as shared_chars from m group by 1""",
+    }
+
+
+SQL: dict[str, str] = _sql()
