@@ -551,3 +551,10 @@ def golden_eval(spark: SparkSession, d: str) -> DataFrame:
 @query(r"select distinct source_file, regexp_replace(lower(regexp_replace(source_file, '\.pdf$', '')), '[^a-z0-9]+', '-', 'g') as slug, regexp_replace(lower(regexp_replace(source_file, '\.pdf$', '')), '\s+', '-', 'g') as folder from chunks where source_file is not null")
 def file_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").filter("source_file is not null").select("source_file", T.file_slug("source_file").alias("slug"), T.folder_name("source_file").alias("folder")).distinct()
+
+
+SQL["p4_found"] = r"""with recursive t as (select tree_id, arg_max(tree_json, (produced_at, loaded_at))::json as j from deliverable_trees where tree_id is not null and json_valid(tree_json) group by 1),
+n(tree_id, path, j) as (select tree_id, 'r', j from t union all select tree_id, path || '.' || (i - 1), kids[i] from (select tree_id, path, kids, unnest(range(1, len(kids) + 1)) as i from (select tree_id, path, case json_type(j, '$.deliverableArray') when 'ARRAY' then json_extract(j, '$.deliverableArray[*]') when 'NULL' then [] else [json_extract(j, '$.deliverableArray')] end as kids from n where json_type(j, '$.deliverableArray') is not null)) where json_type(kids[i]) <> 'NULL'),
+d as (select tree_id, path, 'deliverable' as link, case json_type(j, '$.deliverableArray') when 'ARRAY' then json_extract(j, '$.deliverableArray[*]') when 'NULL' then [] else [json_extract(j, '$.deliverableArray')] end as kids from n where json_type(j, '$.deliverableArray') is not null
+union all select tree_id, path, 'chunk', case json_type(j, '$.procurementDocumentChunkIdArray') when 'ARRAY' then json_extract(j, '$.procurementDocumentChunkIdArray[*]') when 'NULL' then [] else [json_extract(j, '$.procurementDocumentChunkIdArray')] end from n where json_type(j, '$.procurementDocumentChunkIdArray') is not null)
+select tree_id, path as parent_path, link, (i - 1)::int as ord, case link when 'chunk' then kids[i]->>'$' else path || '.' || (i - 1) end as child from (select *, unnest(range(1, len(kids) + 1)) as i from d) where json_type(kids[i]) <> 'NULL'"""
