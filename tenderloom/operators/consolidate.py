@@ -14,6 +14,9 @@ from tenderloom.functions import text as T
 from tenderloom.runtime import Cut
 
 
+COLUMNS = ("chunk_id", "source_file", "section_heading", "bullet_point", "description_en", "description_de", "priority", "equivalence_allowed", "confidence", "standards", "referenced_annexes", "cross_referenced_positions", "category_code", "item_number", "source_language", "ext_ord")
+
+
 def units(extractions: DataFrame) -> DataFrame:
     """Extractions with ``unit_key`` (chunk id and place within the chunk by ``ext_ord``) and ``order`` (``ext_ord``)."""
     place = F.row_number().over(Window.partitionBy("source_file", "chunk_id").orderBy("ext_ord")) - 1
@@ -175,9 +178,10 @@ def consolidate(extractions: DataFrame) -> DataFrame:
 
     ``extractions`` has one row per unit with ``ext_ord``, unique within a
     tender. ``id`` is unique within a tender. An empty input gives an empty
-    result; null titles and descriptions form no key.
+    result; null titles and descriptions form no key; units without a chunk or
+    a tender are left out. Columns besides COLUMNS are ignored.
     """
-    rows = units(extractions)
-    rest = remaining(rows)
+    rows = Cut(units(extractions.select(*COLUMNS).filter("chunk_id is not null and source_file is not null")), "units").df
+    rest = Cut(remaining(rows), "remaining").df
     both = category_requirements(rows).unionByName(merged(rest, identity_groups(rest)))
     return with_references(both)

@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 
 from tenderloom.config import Linking
 from tenderloom.functions import text as T
+from tenderloom.runtime import Cut
 
 DEFAULT = Linking()
 
 
-def token_set(requirement: None = None) -> Column:
+REQUIREMENT = ("source_file", "id", "source_chunk_ids", "merge_record", "bullet_point", "description_en", "description_de", "priority", "equivalence_allowed", "confidence", "standards", "referenced_annexes", "category_code", "section_heading", "item_number", "source_language", "req_order")
+
+
+def token_set() -> Column:
     """The distinct words of over two characters of title and English description."""
     return F.filter(F.array_distinct(T.words(F.concat_ws(" ", "bullet_point", "description_en"), 2)), lambda w: w != "")
 
@@ -27,6 +31,7 @@ def group_key() -> Column:
 
 def blocked(requirements: DataFrame, cfg: Linking = DEFAULT) -> DataFrame:
     """(source_file, block, id, req_order, is_position, tokens): one block per small tender, else one per category or section."""
+    requirements = requirements.select("source_file", "id", "req_order", "item_number", "category_code", "section_heading", "bullet_point", "description_en")
     n = requirements.groupBy("source_file").agg(F.count("*").alias("_n"))
     block = F.when(F.col("_n") <= cfg.full_pairwise, F.lit("*")).otherwise(F.concat(F.lit("="), group_key()))
     return requirements.join(n, "source_file").select("source_file", block.alias("block"), "id", "req_order", T.is_position("item_number").alias("is_position"), token_set().alias("tokens"))
@@ -39,7 +44,7 @@ def candidates(requirements: DataFrame, cfg: Linking = DEFAULT) -> DataFrame:
     number of common words over the smaller number of words. Requirements
     without words pair with none.
     """
-    rows = blocked(requirements, cfg).filter(F.size("tokens") > 0)
+    rows = Cut(blocked(requirements, cfg).filter(F.size("tokens") > 0), "blocked").df
     words = rows.select("source_file", "block", "id", "is_position", F.size("tokens").alias("n"), F.explode("tokens").alias("word"))
     counts = words.groupBy("source_file", "block", "word").agg(F.count("*").alias("df"))
     ranked = F.array_sort(F.collect_list(F.struct("df", "word")))
@@ -86,7 +91,7 @@ def merge_linked(requirements: DataFrame, links: DataFrame) -> DataFrame:
     title and codes come from the position; the id is the least of the group.
     Requirements outside any group are unchanged.
     """
-    root = requirements.join(links, ["source_file", "id"], "left").withColumn("root", F.coalesce("position_id", "id")).drop("position_id")
+    root = requirements.select(*REQUIREMENT).join(links.select("source_file", "id", "position_id"), ["source_file", "id"], "left").withColumn("root", F.coalesce("position_id", "id")).drop("position_id")
     order = F.struct("req_order", "id")
     ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("req_order", "id", F.col(c).alias("v")))), lambda r: r["v"])
     first = F.min_by(F.struct("bullet_point", "category_code", "section_heading", "item_number", "source_language"), F.struct((~T.is_position("item_number")).alias("p"), -F.length("description_en"), "req_order", "id"))

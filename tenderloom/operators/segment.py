@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from tenderloom.config import DEFAULT_HEADING, FIVE_PART, PREAMBLE, THREE_PART, Chunking, Profiling
 from tenderloom.functions import text as T
 from tenderloom.operators.order import numbered, running
+from tenderloom.runtime import Cut
 
 DEFAULT = Chunking()
+LINE = ("doc_id", "page", "line_no", "text", "font_size", "strip_noise")
 ITEM = rf"^(\d{{1,3}}(?:\.\d{{1,3}})+|\d{{1,3}}[.)]|[A-Za-z][.)]|[•·*])[{T.WS}]+[^{T.WS}]"
 GROUP_HEADER = rf"^\d{{2}}(?:\.\d{{2}})?[{T.WS}]+\p{{Lu}}[\p{{L}} ./&-]{{2,}}\z"
 
@@ -67,7 +69,8 @@ def repeated_keys(lines: DataFrame, share: float = Profiling.repeated_share) ->
 
 
 def kept_lines(lines: DataFrame, share: float = Profiling.repeated_share) -> DataFrame:
-    """The lines, normalized and trimmed, without empty ones, running headers and, where ``strip_noise`` says so, price column labels."""
+    """The lines (with doc_id, page and line_no), normalized and trimmed, without empty ones, running headers and, where ``strip_noise`` says so, price column labels."""
+    lines = lines.select(*[c for c in LINE if c in lines.columns]).filter("doc_id is not null and page is not null and line_no is not null")
     t = lines.withColumn("text", T.trim(T.normalize_inline("text"))).filter("text <> ''").withColumn("key", T.page_key("text"))
     kept = t.join(repeated_keys(lines, share).select("doc_id", "key"), ["doc_id", "key"], "left_anti").drop("key")
     return kept.filter(~(F.coalesce("strip_noise", F.lit(False)) & T.is_column_noise("text"))) if "strip_noise" in lines.columns else kept
@@ -77,6 +80,7 @@ def classified(lines: DataFrame, cfg: Chunking = DEFAULT) -> DataFrame:
     """The kept lines with ``kind`` (heading, item or body), ``label`` and ``code``. A heading goes before a code, a code before a list label."""
     t = F.col("text")
     heading = (F.col("font_size") >= F.col("body") * cfg.heading_ratio) | is_caps_heading(t, cfg.heading_length) | is_group_header(t)
+    lines = lines.select(*[c for c in LINE if c in lines.columns])
     marked = lines.join(body_size(lines), "doc_id").withColumn("heading_", F.coalesce(heading, F.lit(False))).withColumn("code", F.when(~F.col("heading_"), code_label(t)))
     label = F.when(~F.col("heading_"), F.coalesce(F.col("code.code"), item_label(t)))
     return marked.withColumn("label", label).withColumn("kind", F.when(F.col("heading_"), "heading").when(F.col("label").isNotNull(), "item").otherwise("body")).drop("heading_", "body")
@@ -105,7 +109,7 @@ def segments(lines: DataFrame, cfg: Chunking = DEFAULT, share: float = Profiling
     the default heading. Pages bound the windows, so a document of any length
     is spread over its pages.
     """
-    rows = classified(kept_lines(lines, share), cfg)
+    rows = Cut(classified(Cut(kept_lines(lines, share), "lines").df, cfg), "lines").df  # both are read more than once
     kind = F.col("kind")
     counted = running(rows, ["doc_id"], ["page"], ["line_no"], kind != "body", F.when(kind == "heading", F.col("text")), ("segment", "heading"))
     place = F.struct("page", "line_no")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
 from tenderloom.operators.link import group_key
+from tenderloom.runtime import Cut
 
 GROUPS = ("l1_key", "l1_label", "l2_key", "l2_label")
 
@@ -85,7 +86,8 @@ def tree_nodes(requirements: DataFrame, groups: DataFrame) -> DataFrame:
     description (map), priority, confidence, equivalence_allowed, chunk_ids (in
     order, repeats kept).
     """
-    rows = requirements.join(groups, ["source_file", "id"]).join(dominant_language(requirements), "source_file")
+    own = Cut(requirements.select("source_file", "id", "req_order", "bullet_point", "description_en", "description_de", "priority", "confidence", "equivalence_allowed", "source_chunk_ids", "source_language"), "requirements").df
+    rows = Cut(own.join(groups.select("source_file", "id", *GROUPS), ["source_file", "id"]).join(dominant_language(own), "source_file"), "grouped").df
     place = F.struct("req_order", "id")
     l1 = rows.groupBy("source_file", "l1_key").agg(F.min(place).alias("o"), F.min_by("l1_label", place).alias("label")).withColumn("ord", F.row_number().over(Window.partitionBy("source_file").orderBy("o")) - 1).withColumn("p1", F.concat(F.lit("r."), F.col("ord").cast("string")))
     l2 = rows.groupBy("source_file", "l1_key", "l2_key").agg(F.min(place).alias("o"), F.min_by("l2_label", place).alias("label")).join(l1.select("source_file", "l1_key", "p1"), ["source_file", "l1_key"]).withColumn("ord", F.row_number().over(Window.partitionBy("source_file", "l1_key").orderBy("o")) - 1).withColumn("p2", F.concat("p1", F.lit("."), F.col("ord").cast("string")))
@@ -119,6 +121,7 @@ def _deliverable(children: Column) -> Column:
 
 def tree_json(nodes: DataFrame) -> DataFrame:
     """(source_file, tree_json): the nested tree of each tender, levels folded from the leaves up; nulls are written."""
+    nodes = Cut(nodes, "nodes").df
     level = nodes.filter("depth = 3").select("source_file", "parent_path", "ord", _deliverable(F.array().cast("array<string>")).alias("node"))
     for depth in (2, 1, 0):
         kids = level.groupBy("source_file", F.col("parent_path").alias("path")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.to_json("node", {"ignoreNullFields": "false"}).alias("node")))), lambda r: r["node"]).alias("kids"))
