@@ -18,7 +18,7 @@ and the rest by shuffle: no join partition ever holds a hot node's edges.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tenderloom.runtime import Cut
@@ -54,8 +54,16 @@ def _small_star(edges: DataFrame, n: int) -> DataFrame:
     return linked.unionByName(selves).filter("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _written(edges: DataFrame) -> tuple[Cut, tuple]:
+    """``edges`` written to the shared folder, with their number and a sum of hashes, taken on the way.
+
+    Should a lost executor make the sums count a task twice, the only effect
+    is one round more.
+    """
+    seen = Observation()
+    out = Cut(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "star")
+    got = seen.get
+    return out, (got.get("n") or 0, got.get("h"))
 
 
 def star_components(edges: DataFrame) -> DataFrame:
@@ -67,15 +75,13 @@ def star_components(edges: DataFrame) -> DataFrame:
     edges of each round are written to the shared folder and those of the round
     before are deleted, so the disk holds two rounds.
     """
-    now = Cut(edges.filter("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long")).distinct(), "star")
-    state = _state(now.df)
-    while True:
+    now, state = _written(edges.filter("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long")).distinct())
+    while state[0]:
         large = Cut(_large_star(now.df, state[0]), "star")
-        small = Cut(_small_star(large.df, state[0]), "star")
+        small, after = _written(_small_star(large.df, state[0]))
         large.drop()
         now.drop()
-        now, before = small, state
-        state = _state(now.df)
+        now, before, state = small, state, after
         if state == before:
             break
     roots = now.df.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
