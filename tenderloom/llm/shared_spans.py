@@ -32,6 +32,8 @@ from tenderloom.runtime import Cut
 
 SPAN = 450
 SHINGLE = 5
+#: Paragraphs with fewer words aren't clustered.
+LEAST_WORDS = 10
 #: A paragraph ends after a sentence or at a blank line; one longer than LONG is cut at winnowed places.
 END = re.compile(r"(?<=[.!?])\s+|\n\s*\n")
 LONG, GRAM, WINDOW = 200, 12, 32
@@ -230,22 +232,21 @@ def shared_chars(documents: DataFrame, span: int = SPAN) -> DataFrame:
     return hit.withColumn("new", F.coalesce(F.least(F.lit(span), F.col("at") - before), F.lit(span))).groupBy("doc_id").agg(F.sum("new").cast("bigint").alias("shared_chars"))
 
 
-def _shingle_rows(bands: int, rows: int, least_words: int):
+def _shingle_rows(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keep = [i for i, t in enumerate(texts) if len(t.split()) >= least_words]
-            if not keep:
+            n = batch.num_rows
+            if not n:
                 continue
-            off, grams = shingles([texts[i] for i in keep])
-            row = np.repeat(np.arange(len(keep)), np.diff(off))
+            off, grams = shingles(batch.column("text").to_pylist())
+            row = np.repeat(np.arange(n), np.diff(off))
             order = np.lexsort((grams, row))
             fresh = np.r_[True, (grams[order][1:] != grams[order][:-1]) | (row[order][1:] != row[order][:-1])]
             kept, where = grams[order][fresh], row[order][fresh]
-            new = np.searchsorted(where, np.arange(len(keep) + 1)).astype(np.int32)
+            new = np.searchsorted(where, np.arange(n + 1)).astype(np.int32)
             keys = band_keys(off, grams, bands, rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("pid").take(pa.array(keep)), pa.ListArray.from_arrays(pa.array(new), pa.array(kept.view(np.int64))), pa.ListArray.from_arrays(pa.array((np.arange(len(keep) + 1) * bands).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))],
+                [batch.column("pid"), pa.ListArray.from_arrays(pa.array(new), pa.array(kept.view(np.int64))), pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * bands).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))],
                 names=["pid", "grams", "bands"],
             )
 
@@ -254,7 +255,14 @@ def _shingle_rows(bands: int, rows: int, least_words: int):
 
 def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(d, a, t[a:b]) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for a, b, *_ in paragraphs(t)]
+        rows = []
+        for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            at = 0
+            for m in [*END.finditer(t), None]:  # whole, however long
+                piece = t[at : m.start() if m else None]
+                if len(piece.split()) >= LEAST_WORDS:
+                    rows.append((d, at, piece))
+                at = m.end() if m else at
         if rows:
             d, a, t = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(t)], names=["doc_id", "begin", "text"])
@@ -263,7 +271,7 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: float = 0.95) -> DataFrame:
     """(doc_id, begin, cluster_doc, cluster_begin, links, removed): one row per paragraph that repeats another, exactly or nearly.
 
-    Paragraphs with at least ten words whose five-word shingles have a Jaccard
+    Paragraphs with at least LEAST_WORDS words whose five-word shingles have a Jaccard
     similarity of ``similarity`` are linked; a cluster is what links connect,
     named by its first paragraph, which stays while the others are
     ``removed``. Equal paragraphs are one node, so copies are never paired;
@@ -278,7 +286,7 @@ def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: fl
     placed = Cut(pieces.select("doc_id", "begin", "text", F.md5("text").alias("digest")).dropDuplicates(["doc_id", "begin"]), "pieces").df
     once = placed.groupBy("digest").agg(F.min("text").alias("text"), F.min(F.struct("doc_id", "begin")).alias("first"), F.count("*").alias("copies"))
     texts = Cut(once.select(F.monotonically_increasing_id().alias("pid"), "*"), "texts").df
-    made = Cut(texts.select("pid", "text").mapInArrow(_shingle_rows(bands, rows, 10), "pid long, grams array<long>, bands array<long>"), "grams").df
+    made = Cut(texts.select("pid", "text").mapInArrow(_shingle_rows(bands, rows), "pid long, grams array<long>, bands array<long>"), "grams").df
     keys = made.select("pid", F.explode("bands").alias("band"))
     a, b = keys.select(F.col("pid").alias("u"), "band"), keys.select(F.col("pid").alias("v"), "band")
     met = a.join(b, "band").filter("u < v").select("u", "v").distinct()
