@@ -7,20 +7,24 @@ section, an equal description in one category.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
+from tenderloom.operators.order import numbered
 from tenderloom.runtime import Cut
 
 
+#: Units numbered in one window, by their place in the tender.
+BLOCK = 10_000
 COLUMNS = ("chunk_id", "source_file", "section_heading", "bullet_point", "description_en", "description_de", "priority", "equivalence_allowed", "confidence", "standards", "referenced_annexes", "cross_referenced_positions", "category_code", "item_number", "source_language", "ext_ord")
 
 
 def units(extractions: DataFrame) -> DataFrame:
     """Extractions with ``unit_key`` (chunk id and place within the chunk by ``ext_ord``) and ``order`` (``ext_ord``)."""
-    place = F.row_number().over(Window.partitionBy("source_file", "chunk_id").orderBy("ext_ord")) - 1
-    return extractions.withColumn("order", F.col("ext_ord")).withColumn("unit_key", F.concat("chunk_id", F.lit("#"), place.cast("string")))
+    rows = extractions.withColumn("order", F.col("ext_ord")).withColumn("_block", F.floor(F.col("ext_ord") / BLOCK))
+    placed = numbered(rows, ["source_file", "chunk_id"], ["_block"], ["ext_ord"], "_place").drop("_block")
+    return placed.withColumn("unit_key", F.concat("chunk_id", F.lit("#"), F.col("_place").cast("string"))).drop("_place")
 
 
 def has_category() -> Column:
@@ -116,19 +120,35 @@ def evidence(chunk_ids: Column, first: str, others: str) -> Column:
     return F.transform(chunk_ids, lambda c, i: F.struct(c.alias("chunk_id"), F.when(i == 0, first).otherwise(others).alias("evidence_role")))
 
 
+def listed_values(rows: DataFrame) -> DataFrame:
+    """(source_file, id, _chunk_id, _description_en, ...): the different values of each group's lists and texts, in order of first appearance.
+
+    Texts that are equal when folded are one value. Repeats are dropped
+    map-side before anything is collected, so a group of copies stays small.
+    """
+    texts, lists = ("description_en", "description_de"), ("standards", "referenced_annexes", "cross_referenced_positions")
+    entry = lambda kind, key, value, pos: F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.struct("order", "unit_key", pos.alias("pos"), value.alias("value")).alias("v"))
+    zero = F.lit(0)
+    parts = [F.array(entry("chunk_id", F.col("chunk_id"), F.col("chunk_id"), zero), *[entry(c, T.folded(c), F.col(c), zero) for c in texts])]
+    spread = lambda kind: F.transform(F.coalesce(kind, F.array().cast("array<string>")), lambda x, i: entry(kind, x, x, i))
+    parts += [spread(c) for c in lists]
+    flat = rows.select("source_file", "id", F.explode(F.concat(*parts)).alias("e")).select("source_file", "id", "e.*").filter("key is not null")
+    first = flat.groupBy("source_file", "id", "kind", "key").agg(F.min("v").alias("v"))
+    kinds = ("chunk_id", *texts, *lists)
+    return first.groupBy("source_file", "id").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("v")))), lambda v: v["value"]).alias(f"_{k}") for k in kinds])
+
+
 def merged(unit_rows: DataFrame, groups: DataFrame) -> DataFrame:
     """One requirement per (source_file, id): body fields of the fullest unit, title of the first, priority of the strongest, lists united in order."""
     rows = unit_rows.join(groups, ["source_file", "unit_key"])
     length = F.length("description_en")
     best = F.max_by(F.struct("equivalence_allowed", "confidence", "category_code", "section_heading", "item_number", "source_language", "description_en"), F.struct(length, F.coalesce(T.rank("confidence", "confidence"), F.lit(0)), -F.col("order")))
-    in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("order", "unit_key", F.col(c).alias("v")))), lambda r: r["v"])
     out = rows.groupBy("source_file", "id").agg(
         F.count("*").alias("n_units"), best.alias("rep"), F.min_by("bullet_point", F.struct("order", "unit_key")).alias("bullet_point"), F.max(T.rank("priority", "priority")).alias("p"), F.min("order").alias("req_order"),
-        *[in_order(c).alias(f"_{c}") for c in ("chunk_id", "description_en", "description_de", "standards", "referenced_annexes", "cross_referenced_positions")],
-        F.count_if(T.is_position("item_number")).alias("n_positions"), F.count_distinct("item_number").alias("n_numbers"), F.count("item_number").alias("n_numbered"), F.min(F.when(T.is_position("item_number"), F.col("item_number"))).alias("position"),
-    )
-    chunk_ids = F.array_distinct("_chunk_id")
-    exact = (F.col("n_positions") > 0) & (F.col("n_numbers") == 1) & (F.col("n_numbered") == F.col("n_units"))
+        F.count_if(T.is_position("item_number")).alias("n_positions"), F.min("item_number").alias("low"), F.max("item_number").alias("high"), F.count("item_number").alias("n_numbered"), F.min(F.when(T.is_position("item_number"), F.col("item_number"))).alias("position"),
+    ).join(listed_values(rows), ["source_file", "id"])
+    chunk_ids = F.col("_chunk_id")
+    exact = (F.col("n_positions") > 0) & (F.col("low") == F.col("high")) & (F.col("n_numbered") == F.col("n_units"))
     single = F.col("n_units") == 1
     record = F.struct(
         F.when(single, "standalone").when(exact, "lv-position-match").otherwise("staging-dedup").alias("rule"),
@@ -136,12 +156,11 @@ def merged(unit_rows: DataFrame, groups: DataFrame) -> DataFrame:
         evidence(chunk_ids, "general_spec", "duplication").alias("evidence_links"),
         F.when(single, F.lit("Standalone requirement")).when(exact, F.concat(F.lit("Same position "), "position")).otherwise(F.lit("Same text")).alias("why_merged"),
     )
-    flat = lambda c: F.array_distinct(F.flatten(c))
     return out.select(
         "source_file", "id", chunk_ids.alias("source_chunk_ids"), record.alias("merge_record"), "bullet_point", F.coalesce(joined_descriptions(F.col("_description_en")), "rep.description_en").alias("description_en"),
         joined_descriptions(F.col("_description_de")).alias("description_de"), T.unrank(F.coalesce("p", F.lit(1)), "priority").alias("priority"), F.col("rep.equivalence_allowed"), F.col("rep.confidence"),
-        flat("_standards").alias("standards"), flat("_referenced_annexes").alias("referenced_annexes"), F.col("rep.category_code"), F.col("rep.section_heading"), F.col("rep.item_number"), F.col("rep.source_language"), "req_order",
-        flat("_cross_referenced_positions").alias("cross_references"),
+        F.col("_standards").alias("standards"), F.col("_referenced_annexes").alias("referenced_annexes"), F.col("rep.category_code"), F.col("rep.section_heading"), F.col("rep.item_number"), F.col("rep.source_language"), "req_order",
+        F.col("_cross_referenced_positions").alias("cross_references"),
     )
 
 

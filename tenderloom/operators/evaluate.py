@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
+from tenderloom.runtime import fits
+
+MAX_FACTS = 10_000
 
 
 def score(leaves: DataFrame, facts: DataFrame) -> DataFrame:
@@ -15,9 +18,11 @@ def score(leaves: DataFrame, facts: DataFrame) -> DataFrame:
     has fact_id, context and values (arrays) and equivalence (boolean or null).
     A leaf is named if its folded text holds any context phrase; a value counts
     if the text holds it as written. A fact without values asks for a named
-    leaf only. Facts are few and verified by hand: they are sent to every task,
-    behind a check of their number by the caller.
+    leaf only. Facts are verified by hand, so few: they are the stated query set
+    that every leaf is held against, and more than MAX_FACTS are refused.
     """
+    if not fits(facts, MAX_FACTS):
+        raise ValueError(f"more than {MAX_FACTS} facts")
     text = leaves.select("id", T.folded("text").alias("text"), "equivalence_allowed")
     named = text.join(F.broadcast(facts), F.exists("context", lambda c: F.contains(F.col("text"), F.lower(c))))
     whole = F.forall("values", lambda v: F.contains(F.col("text"), F.lower(v))) & F.coalesce(F.col("equivalence").isNull() | (F.col("equivalence") == F.col("equivalence_allowed")), F.lit(False))

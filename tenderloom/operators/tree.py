@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
 from tenderloom.operators.link import group_key
+from tenderloom.operators.order import numbered
 from tenderloom.runtime import Cut
 
+#: Requirements numbered in one window, by their place in the tender.
+BLOCK = 10_000
 GROUPS = ("l1_key", "l1_label", "l2_key", "l2_label")
 
 
+def placed(rows: DataFrame, group: list[str], name: str) -> DataFrame:
+    """The place of each requirement in its group from 0, in order; windows hold a block of the tender each."""
+    return numbered(rows.withColumn("_block", F.floor(F.col("req_order") / BLOCK)), group, ["_block"], ["req_order", "id"], name).drop("_block")
+
+
 def dominant_language(requirements: DataFrame) -> DataFrame:
     """(source_file, language): the most common two-letter language of a tender, of equally common ones the first seen, else en."""
     lang = T.language_code("source_language")
@@ -23,7 +31,7 @@ def dominant_language(requirements: DataFrame) -> DataFrame:
 def catalogue(requirements: DataFrame) -> DataFrame:
     """(source_file, key, n_items, key_order, examples): the grouping keys of a tender with their first three titles.
 
-    The three are picked pairwise by ``min_by`` with a limit, so a key of any size is three rows per task.
+    The limit of three goes before the shuffle, so a key of any size is three rows per task.
     """
     rows = requirements.select("source_file", group_key().alias("key"), "req_order", "id", "bullet_point")
     place = Window.partitionBy("source_file", "key").orderBy("req_order", "id")
@@ -56,8 +64,7 @@ def taxonomy_groups(requirements: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 def claimed_groups(requirements: DataFrame, reply: DataFrame) -> DataFrame:
     """The same columns by a reply (source_file, l1_ord, l1, l2_ord, l2, indices) of places in the tender's order; the first claim of a place counts, places out of range are ignored, the rest goes to Other."""
-    place = F.row_number().over(Window.partitionBy("source_file").orderBy("req_order", "id")) - 1
-    rows = requirements.select("source_file", "id", "req_order").withColumn("idx", place)
+    rows = placed(requirements.select("source_file", "id", "req_order"), ["source_file"], "idx")
     claims = reply.select("source_file", "l1_ord", "l1", "l2_ord", "l2", F.posexplode("indices").alias("pos", "idx"))
     first = claims.groupBy("source_file", "idx").agg(F.min_by(F.struct("l1", "l2"), F.struct("l1_ord", "l2_ord", "pos")).alias("t"))
     out = rows.join(first, ["source_file", "idx"], "left")
@@ -91,7 +98,8 @@ def tree_nodes(requirements: DataFrame, groups: DataFrame) -> DataFrame:
     place = F.struct("req_order", "id")
     l1 = rows.groupBy("source_file", "l1_key").agg(F.min(place).alias("o"), F.min_by("l1_label", place).alias("label")).withColumn("ord", F.row_number().over(Window.partitionBy("source_file").orderBy("o")) - 1).withColumn("p1", F.concat(F.lit("r."), F.col("ord").cast("string")))
     l2 = rows.groupBy("source_file", "l1_key", "l2_key").agg(F.min(place).alias("o"), F.min_by("l2_label", place).alias("label")).join(l1.select("source_file", "l1_key", "p1"), ["source_file", "l1_key"]).withColumn("ord", F.row_number().over(Window.partitionBy("source_file", "l1_key").orderBy("o")) - 1).withColumn("p2", F.concat("p1", F.lit("."), F.col("ord").cast("string")))
-    leaf = rows.join(l2.select("source_file", "l1_key", "l2_key", "p1", "p2"), ["source_file", "l1_key", "l2_key"]).withColumn("ord", F.row_number().over(Window.partitionBy("source_file", "l1_key", "l2_key").orderBy("req_order", "id")) - 1)
+    leaf = rows.join(l2.select("source_file", "l1_key", "l2_key", "p1", "p2"), ["source_file", "l1_key", "l2_key"])
+    leaf = placed(leaf, ["source_file", "l1_key", "l2_key"], "ord")
     listed = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("req_order", "id", "source_chunk_ids"))), lambda r: r["source_chunk_ids"])).alias("chunk_ids")
     none = F.create_map().cast("map<string,string>")
 
