@@ -101,19 +101,18 @@ def consolidate(records: DataFrame, pairs: DataFrame, key: str = "id", shared: s
     point. Labels are ranks of the sorted keys, so least label and least key
     agree and rounds move 16 bytes an edge instead of two keys.
     """
-    keyed = records.filter(F.col(key).isNotNull())
-    ranked = Cut(keyed.select(key).distinct().orderBy(key).withColumn("n", F.monotonically_increasing_id()), "rank")
-    rank = ranked.df
-    one, two = rank.select(F.col(key).alias("a"), F.col("n").alias("u")), rank.select(F.col(key).alias("b"), F.col("n").alias("v"))
+    keyed = records.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), *([F.col(shared).alias("entries")] if shared else []))
+    rank = Cut(keyed.select("k").distinct().orderBy("k").withColumn("n", F.monotonically_increasing_id()), "rank").df
+    one, two = rank.select(F.col("k").alias("a"), F.col("n").alias("u")), rank.select(F.col("k").alias("b"), F.col("n").alias("v"))
     edges = pairs.filter("a <> b").select("a", "b").distinct().join(one, "a").join(two, "b").select("u", "v")
     if shared:
-        entry = keyed.select(key, F.explode(F.array_distinct(shared)).alias("entry")).filter("entry is not null")
-        member = entry.join(rank, key).select("entry", "n")
+        entry = keyed.select("k", F.explode(F.array_distinct("entries")).alias("entry")).filter("entry is not null")
+        member = entry.join(rank, "k").select("entry", "n")
         least = member.groupBy("entry").agg(F.min("n").alias("v"), F.count("*").alias("deg")).filter("deg > 1")
         edges = edges.unionByName(member.join(least, "entry").select(F.col("n").alias("u"), "v"))
-    found = star_components(edges)
-    name = rank.select(F.col("n").alias("root"), F.col(key).alias("group_id"))
-    return rank.join(found, rank["n"] == found["node"]).select(key, "root").join(name, "root").select(key, "group_id")
+    found = star_components(edges).select(F.col("node").alias("n"), "root")
+    name = rank.select(F.col("n").alias("root"), F.col("k").alias("least"))
+    return rank.join(found, "n").join(name, "root").select(F.col("k").alias(key), F.col("least").alias("group_id"))
 
 
 def requirement_groups(requirements: DataFrame, verdicts: DataFrame) -> DataFrame:

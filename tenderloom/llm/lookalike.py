@@ -32,7 +32,8 @@ UNSEEN = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏⁠⁡⁢⁣⁤ㅤ﻿ﾠ"
 def tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
     """(from, to, dropped, replacements) of the mapping.
 
-    Besides the fixed values above, by rule: every space separator is a space;
+    Besides the fixed values above, by rule: every space separator and the tab
+    is a space, every other line or paragraph separator a line feed;
     wide, narrow, font and no-break variants are their plain character, and so
     are compatibility ligatures of letters; format characters, variation
     selectors and C0/C1 controls other than tab and line breaks are dropped.
@@ -58,6 +59,7 @@ def tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
                 one[c] = to
             elif to:
                 many[c] = to
+    one |= {"\t": " "} | dict.fromkeys("\x0b\x0c\x85\u2028\u2029", "\n")
     one |= dict(zip(CYRILLIC + GREEK + OTHER, CYRILLIC_AS + GREEK_AS + OTHER_AS, strict=True))
     one = {a: one.get(b, b) for a, b in one.items() if a not in gone and a != one.get(b, b)}
     return "".join(one), "".join(one.values()), "".join(gone), tuple(many.items())
@@ -89,8 +91,8 @@ def classes(values: DataFrame, value: str) -> DataFrame:
     outlines = values.filter("digest is not null").select("digest", "outline").distinct().groupBy("outline").agg(F.count("*").alias("_n")).filter("_n > 1").select("outline")
     able = values.join(outlines, "outline", "left_semi").groupBy("digest").agg(F.min(value).alias(value))
     able = able.withColumn("_form", F.collate(mapped(F.col(value)), "UNICODE"))
-    forms = able.groupBy("_form").agg(F.min(value).alias("canonical"), F.collect_list("digest").alias("members")).filter(F.size("members") > 1)
-    return forms.select("canonical", F.size("members").alias("n_forms"), F.explode("members").alias("digest"))
+    forms = able.groupBy("_form").agg(F.min(value).alias("canonical"), F.count("*").alias("n_forms")).filter("n_forms > 1")
+    return able.select("digest", "_form").join(forms, "_form").select("canonical", "n_forms", "digest")
 
 
 def canonical_chunks(chunks: DataFrame) -> DataFrame:

@@ -193,8 +193,8 @@ def _repeats(documents: DataFrame) -> bool:
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, reached_share, tokens, documents, most_copies) for each source of ``targets`` or the mixture."""
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("documents"), F.max("copies").alias("most_copies"))
-    total = got.agg(F.sum("tokens").alias("total"))
+    total = got.agg(F.sum("tokens").alias("total")).withColumn("all_of", F.lit(1))
     wanted = targets.select(tidy("source").alias("source"), "target_share").filter("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"))
-    out = wanted.join(got, "source", "full").join(F.broadcast(total))
+    out = wanted.join(got, "source", "full").withColumn("all_of", F.lit(1)).join(F.broadcast(total), "all_of", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     return out.select("source", zero("target_share").cast("double").alias("target_share"), F.coalesce(F.try_divide("tokens", "total"), F.lit(0.0)).alias("reached_share"), zero("tokens").cast("long").alias("tokens"), zero("documents").cast("long").alias("documents"), zero("most_copies").cast("int").alias("most_copies"))

@@ -47,6 +47,12 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.near_sets import classes_of_requirements_and_extractions
+
+    return classes_of_requirements_and_extractions(table(spark, d, "requirements"), table(spark, d, "extractions"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from tenderloom.llm.lookalike import same_to_a_reader
 
@@ -71,6 +77,12 @@ def p10_paragraph_clusters(spark: SparkSession, d: str) -> DataFrame:
     return paragraph_clusters(table(spark, d, "documents"))
 
 
+def p8_coverage(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.leaks import leaked_coverage
+
+    return leaked_coverage(p8_leaks(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_fused(spark, d).select("source_file", "item_number", "description_id", "confidence_id", "priority_id")
 
@@ -93,7 +105,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 _REQUIREMENTS = """requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1)"""
 _CHUNKS = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1)"""
