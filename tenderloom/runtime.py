@@ -46,19 +46,24 @@ def ship(spark: SparkSession) -> None:
 
 
 class Cut:
-    """A table written to the shared folder. ``df`` reads it, ``drop()`` deletes it once nothing reads it any more."""
+    """A table written to the shared folder. ``df`` reads it, ``drop()`` deletes it once nothing reads it any more; what is left goes when the driver ends."""
 
     def __init__(self, df: DataFrame, name: str = "cut"):
         self.spark = df.sparkSession
         ship(self.spark)
         self.path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
+        fs, path = self._place()
+        fs.deleteOnExit(path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
+    def _place(self) -> tuple:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def drop(self) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = self._place()
+        fs.delete(path, True)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
