@@ -1,8 +1,10 @@
 """Sentence alignment in bilingual records.
 
-A word translation table is learned from the records themselves by expectation-
-maximisation (word-by-word translation model, then once more on the sentences
-that it aligns). Each sentence becomes a weighted bag of words of the other
+A word translation table is learned from all the records themselves by expectation-
+maximisation (word-by-word translation model, then twice more on the sentences
+that it aligns). Each round is a job over all rows: a translation's expectation
+depends on its own word only, so blocks of words are counted one after another
+and no task or driver holds more than a block. Each sentence becomes a weighted bag of words of the other
 language; inverted indexes over a record's sentences retrieve the best partner
 in both directions; partners that agree are matched, and matches grow by
 further sentences that one of the two covers as a part. Numbers and names, and
@@ -11,8 +13,10 @@ any word that both languages write alike, translate into themselves.
 
 from __future__ import annotations
 
-import pickle
+import os
 import re
+import shutil
+import tempfile
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -22,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.operators.latest import latest_requirements
-from tenderloom.runtime import Cut
+from tenderloom.runtime import Cut, parts
 
-#: Records, at most, that the tables are learned from: those with the least hash of their id.
-FIT_RECORDS = 2_500
 ROUNDS = 6
+#: Cells (word, word) that a job of a round counts at once, and rows that a task pairs at once.
+CELLS, SLICE = 16_000_000, 1_000
 #: A word of the tables occurs in this many of the records that they are learned from.
 LEAST_RECORDS = 4
 #: A translation is kept if it is this many times likelier than by chance, and at most so many a word.
@@ -95,6 +99,10 @@ def _em(rows: list[tuple[list[int], list[int]]], n_from: int, rounds: int) -> tu
     return np.stack([source, codes % n_to]), p
 
 
+def _kept(found: dict[str, list]) -> dict[str, dict[str, float]]:
+    return {w: {t: c for _, t, c in sorted(v, reverse=True)[:TRANSLATIONS]} for w, v in found.items()}
+
+
 def _direction(rows: list[tuple[list[str], list[str]]], rounds: int) -> tuple[dict, dict]:
     """({word: {translation: certainty}}, {translation: probability by chance}), words that occur in LEAST_RECORDS."""
     left, right = Counter(w for a, _ in rows for w in a), Counter(w for _, b in rows for w in b)
@@ -113,13 +121,14 @@ def _direction(rows: list[tuple[list[str], list[str]]], rounds: int) -> tuple[di
         by_chance = chance[b] / total
         if a and x > LIFT * by_chance and x > 1e-3:
             found[words[a]].append((x, targets[b], x / (x + LIFT * by_chance)))
-    table = {w: {t: c for _, t, c in sorted(v, reverse=True)[:TRANSLATIONS]} for w, v in found.items()}
-    return table, {w: chance[i] / total for w, i in to.items()}
+    return _kept(found), {w: chance[i] / total for w, i in to.items()}
 
 
 def _tables(rows: list[tuple[list[str], list[str]]], rounds: int) -> Tables:
-    forward, chance_de = _direction(rows, rounds)
-    backward, chance_en = _direction([(b, a) for a, b in rows], rounds)
+    return _weighed(*_direction(rows, rounds), *_direction([(b, a) for a, b in rows], rounds))
+
+
+def _weighed(forward: dict, chance_de: dict, backward: dict, chance_en: dict) -> Tables:
     known_de, known_en = Counter(), Counter()
     for source, known in ((forward, known_de), (backward, known_en)):
         for v in source.values():
@@ -225,10 +234,175 @@ def align_bags(en: list[list[str]], de: list[list[str]], tables: Tables) -> list
     return sorted(pairs)
 
 
-def _learner(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The tables of all records of the one partition, which is bounded; learned in a task, so the driver holds the result only."""
-    records = [r for b in batches for r in zip(b["description_en"], b["description_de"], strict=True)]
-    yield pd.DataFrame({"tables": [pickle.dumps(learn(records))]})
+def _pair(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, empty: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cells, start, size): for each word lo <= b < hi of each row, the cells of it with all words of the other side and the empty one."""
+    a = np.insert(a, np.cumsum(la), empty)
+    la = la + 1
+    rows = np.repeat(np.arange(len(lb)), lb)
+    ours = (b >= lo) & (b < hi)
+    b, rows = b[ours], rows[ours]
+    size = la[rows]
+    start = np.cumsum(size) - size
+    at = np.arange(size.sum()) - np.repeat(start - (np.cumsum(la) - la)[rows], size)
+    return np.repeat((b - lo).astype(np.int64) * (empty + 1), size) + a[at], start, size
+
+
+def _counter(shared):
+    """Expected counts of the blocks (direction, lo, hi, empty word, cells, probabilities); without cells all are 1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks, known = shared.value, []
+        for _, lo, hi, empty, cells, x in blocks:
+            p = np.full((hi - lo) * (empty + 1), 1.0 if cells is None else 0.0, np.float32)
+            if cells is not None:
+                p[cells] = x
+            known.append(p)
+        sums = [np.zeros(len(p)) for p in known]
+        for batch in batches:
+            for k in range(0, len(batch), SLICE):
+                en, de = batch["a"].iloc[k : k + SLICE], batch["b"].iloc[k : k + SLICE]
+                sides = [(np.concatenate(v.to_list()), v.map(len).to_numpy()) for v in (en, de)]
+                for (way, lo, hi, empty, *_), p, total in zip(blocks, known, sums, strict=True):
+                    cells, start, size = _pair(*sides[way], *sides[1 - way], empty, lo, hi)
+                    if len(cells):
+                        w = p[cells].astype(float)
+                        w /= np.repeat(np.add.reduceat(w, start), size)
+                        np.add.at(total, cells, w)
+        for n, total in enumerate(sums):
+            cells = np.flatnonzero(total)
+            yield pd.DataFrame({"n": [n], "cells": [cells.astype(np.int32).tobytes()], "x": [total[cells].astype(np.float32).tobytes()]})
+
+    return run
+
+
+def _coder(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        en, de = shared.value
+        for batch in batches:
+            rows = [([en[w] for w in a.split(" ") if w in en], [de[w] for w in b.split(" ") if w in de]) for a, b in zip(batch["en"], batch["de"], strict=True)]
+            yield pd.DataFrame([r for r in rows if r[0] and r[1]], columns=["a", "b"])
+
+    return run
+
+
+def _fitted(rows: DataFrame, rounds: int) -> Tables:
+    """As ``_tables``, of a table (en, de) of bags with a blank between words; one job a round and group of blocks."""
+    spark, folder = rows.sparkSession, tempfile.mkdtemp(prefix="tenderloom-em-")
+    context = spark.sparkContext
+    vocabulary = []
+    for c in ("en", "de"):
+        words = rows.select(F.explode(F.split(c, " ")).alias("w")).groupBy("w").count().filter(F.col("count") >= LEAST_RECORDS).select("w").toPandas()["w"]
+        vocabulary.append(sorted(w for w in words if w and not itself(w)))
+    if not all(vocabulary):
+        return _tables([], 0)
+    ids = context.broadcast([{w: i for i, w in enumerate(v)} for v in vocabulary])
+    written = Cut(rows.mapInPandas(_coder(ids), "a array<int>, b array<int>"), "coded")
+    tasks = max(1, min(parts(spark), context.defaultParallelism))
+    coded = written.df.coalesce(tasks)
+    try:
+        # By direction: 0 from en to de, 1 from de to en. Expected counts, a row for each word that is translated to.
+        n_from, n_to = [len(v) for v in vocabulary], [len(v) for v in reversed(vocabulary)]
+        counts = [np.memmap(os.path.join(folder, str(w)), np.float32, "w+", shape=(n_to[w], n_from[w] + 1)) for w in (0, 1)]
+        of_source: list = [None, None]
+        groups: list[list[tuple[int, int, int]]] = [[]]
+        room = CELLS
+        for w in (0, 1):
+            step = max(1, CELLS // (n_from[w] + 1))
+            for lo in range(0, n_to[w], step):
+                hi = min(lo + step, n_to[w])
+                if (need := (hi - lo) * (n_from[w] + 1)) > room and groups[-1]:
+                    groups.append([])
+                    room = CELLS
+                groups[-1].append((w, lo, hi))
+                room -= need
+        for no in range(rounds):
+            totals = [np.zeros(n + 1) for n in n_from]
+            for group in groups:
+                blocks = []
+                for w, lo, hi in group:
+                    flat = (counts[w][lo:hi] / np.maximum(of_source[w], 1e-30)).ravel().astype(np.float32) if no else None
+                    cells = np.flatnonzero(flat).astype(np.int32) if no else None
+                    blocks.append((w, lo, hi, n_from[w], cells, flat[cells] if no else None))
+                shared = context.broadcast(blocks)
+                sums = [np.zeros((hi - lo) * (n_from[w] + 1)) for w, lo, hi in group]
+                for r in coded.mapInPandas(_counter(shared), "n int, cells binary, x binary").collect():
+                    sums[r["n"]][np.frombuffer(r["cells"], np.int32)] += np.frombuffer(r["x"], np.float32)
+                for (w, lo, hi), x in zip(group, sums, strict=True):
+                    counts[w][lo:hi] = x.reshape(hi - lo, -1)
+                    totals[w] += counts[w][lo:hi].sum(axis=0, dtype=float)
+                shared.destroy()
+            of_source = totals
+        sides = []
+        for w, column in ((0, "b"), (1, "a")):
+            chance = np.zeros(n_to[w])
+            for r in written.df.select(F.explode(column).alias("t")).groupBy("t").count().collect():
+                chance[r["t"]] = r["count"]
+            chance /= max(chance.sum(), 1)
+            found: dict[str, list] = defaultdict(list)
+            words, targets = vocabulary[w], vocabulary[1 - w]
+            for lo in range(0, n_to[w], step := max(1, CELLS // (n_from[w] + 1))):
+                p = counts[w][lo : lo + step, :-1] / np.maximum(of_source[w][:-1], 1e-30)
+                for b, a in zip(*np.nonzero((p > LIFT * chance[lo : lo + step, None]) & (p > 1e-3)), strict=True):
+                    x = float(p[b, a])
+                    found[words[a]].append((x, targets[lo + b], x / (x + LIFT * chance[lo + b])))
+            sides += [_kept(found), {t: c for t, c in zip(targets, chance.tolist(), strict=True) if c}]
+        return _weighed(*sides)
+    finally:
+        ids.destroy()
+        written.drop()
+        shutil.rmtree(folder, True)
+
+
+def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({c: [" ".join(bag(" ".join(sentences(t)))) for t in b[f"description_{c}"]] for c in ("en", "de")})
+
+
+def _paired(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = shared.value
+        for b in batches:
+            rows = []
+            for x, y in zip(b["description_en"], b["description_de"], strict=True):
+                en, de = [bag(s) for s in sentences(x)], [bag(s) for s in sentences(y)]
+                rows.extend((" ".join(en[i]), " ".join(de[j])) for i, j in align_bags(en, de, tables))
+            yield pd.DataFrame(rows, columns=["en", "de"])
+
+    return run
+
+
+def _heavy(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = shared.value
+        for b in batches:
+            for c, weights in (("en", tables.weight_en), ("de", tables.weight_de)):
+                yield pd.DataFrame({"side": c, "weight": [float(sum(weights.get(w, tables.unknown) for w in bag(s))) for t in b[f"description_{c}"] for s in sentences(t)]})
+
+    return run
+
+
+def learned(held: DataFrame, rounds: int = ROUNDS) -> Tables:
+    """What ``learn`` gives for all rows (description_en, description_de) together, counted by the executors."""
+    held = held.select("description_en", "description_de")
+    context = held.sparkSession.sparkContext
+    written = Cut(held.mapInPandas(_bags, "en string, de string"), "bags")
+    tables = _fitted(written.df, rounds)
+    written.drop()
+    for _ in range(2):
+        shared = context.broadcast(tables)
+        written = Cut(held.mapInPandas(_paired(shared), "en string, de string"), "paired")
+        shared.destroy()
+        none = written.df.isEmpty()
+        if not none:
+            tables = _fitted(written.df, rounds)
+        written.drop()
+        if none:
+            break
+    shared = context.broadcast(tables)
+    middle = {r["side"]: r["m"] for r in held.mapInPandas(_heavy(shared), "side string, weight double").groupBy("side").agg(F.median("weight").alias("m")).collect()}
+    shared.destroy()
+    tables.typical = (middle.get("en", np.inf), middle.get("de", np.inf))
+    return tables
 
 
 def _aligner(shared):
@@ -243,19 +417,16 @@ def _aligner(shared):
     return run
 
 
-def aligned_sentences(requirements: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
+def aligned_sentences(requirements: DataFrame) -> DataFrame:
     """(id, en_no, de_no): the pairs of sentences of a requirement's two descriptions that say the same, wholly or in part.
 
     The valid version of each ``id`` counts; requirements without either text
     give no rows. Sentences are numbered from 0 and may be left out, moved or
     joined on either side; equal sentences of one text may share a partner. The
-    tables are learned from at most ``fit_records`` requirements, every one of
-    which holds both texts; all requirements are aligned with them. With no
+    tables are learned from all requirements that hold both texts. With no
     such requirement the result is empty.
     """
     valid = latest_requirements(requirements, ["id", "description_en", "description_de"]).filter("trim(description_en) <> '' and trim(description_de) <> ''")
     held = Cut(valid, "bilingual").df
-    sample = held.orderBy(F.xxhash64("id"), "id").limit(fit_records).select("description_en", "description_de").coalesce(1)
-    learned = sample.mapInPandas(_learner, "tables binary").collect()
-    tables = pickle.loads(learned[0]["tables"]) if learned else _tables([], 0)
+    tables = learned(held)
     return held.mapInPandas(_aligner(held.sparkSession.sparkContext.broadcast(tables)), "id string, en_no int, de_no int")

@@ -105,6 +105,21 @@ def test_alignment_edges(spark):
     assert alignment.aligned_sentences(df.limit(0)).count() == 0
 
 
+def test_alignment_learns_from_all_records(spark):
+    t, letters = datetime(2024, 1, 1), "abcdefghij"
+    name = lambda k: "".join(letters[int(c)] for c in f"{k:04}")
+    say = lambda k, a: f"{a}one{name(k)} {a}two{name(k)} {a}three{name(k)}."
+    texts = [(f"{say(k, 'x')} {say((k + 1 + n) % 700, 'x')}", f"{say((k + 1 + n) % 700, 'y')} {say(k, 'y')}") for k in range(700) for n in range(4)]
+    df = spark.createDataFrame([(f"r{i}", a, b, t, None) for i, (a, b) in enumerate(texts)], REQ)
+    got = values(alignment.aligned_sentences(df), "id", "en_no", "de_no")
+    assert set(got) == {(f"r{i}", n, 1 - n) for i in range(len(texts)) for n in (0, 1)}
+    few = spark.createDataFrame([bilingual(random.Random(n))[:2] for n in range(80)], "description_en string, description_de string")
+    one, other = alignment.learned(few), alignment.learn([tuple(r) for r in few.collect()])
+    for a, b in ((one.forward, other.forward), (one.backward, other.backward)):
+        assert {w: pytest.approx(v, abs=1e-3) for w, v in b.items()} == a
+    assert one.typical == pytest.approx(other.typical, rel=1e-3)
+
+
 # Pieces.
 def random_text(rng, n):
     kinds = ["\n\n", "\n", ". ", " ", " ", " ", "\nHEAD LINE\n", "\n• item ", "\n01.01.0010 Pos "]
