@@ -7,12 +7,13 @@ threshold must include one of them), the other side all of its words.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.config import Linking
 from tenderloom.functions import text as T
-from tenderloom.runtime import Cut
+from tenderloom.runtime import Cut, ship
 
 DEFAULT = Linking()
 
@@ -68,19 +69,55 @@ def top_candidates(pairs: DataFrame, requirements: DataFrame, cfg: Linking = DEF
     return few.join(first, ["source_file", "block"]).withColumn("rank", F.row_number().over(budget)).filter(F.col("rank") <= cfg.total).drop("block_order")
 
 
+def same_sides(ranked: DataFrame, verdicts: DataFrame, requirements: DataFrame) -> DataFrame:
+    """(source_file, rank, id, position_id, code): the pairs judged ``same`` (either order of the ids, the relation trimmed and lower-cased)."""
+    same = verdicts.filter(F.lower(T.trim("relation")) == "same").select(F.least("a_id", "b_id").alias("x"), F.greatest("a_id", "b_id").alias("y")).distinct()
+    ok = ranked.withColumn("x", F.least("a_id", "b_id")).withColumn("y", F.greatest("a_id", "b_id")).join(same, ["x", "y"], "left_semi")
+    side = lambda s: requirements.select("source_file", F.col("id").alias(f"{s}_id"), T.is_position("item_number").alias(f"{s}_is"), F.col("item_number").alias(f"{s}_code"))
+    pick = lambda a, b: F.when(F.col("a_is"), F.col(a)).otherwise(F.col(b))
+    return ok.join(side("a"), ["source_file", "a_id"]).join(side("b"), ["source_file", "b_id"]).select("source_file", "rank", pick("b_id", "a_id").alias("id"), pick("a_id", "b_id").alias("position_id"), pick("a_code", "b_code").alias("code"))
+
+
 def linked(ranked: DataFrame, verdicts: DataFrame, requirements: DataFrame) -> DataFrame:
-    """(source_file, id, position_id): each requirement without a position, with the position it belongs to.
+    """(source_file, id, position_id): each requirement without a position, with the position of its best-ranked pair judged ``same``.
 
-    A requirement follows its best-ranked pair that is judged ``same`` (either
-    order of the ids, the relation trimmed and lower-cased). That equals uniting
-    the pairs in order unless two positions would meet, as long as each position
-    code is on one requirement.
+    This decides the code of every statement. It tells nothing of further
+    positions that bear the same code; ``united`` brings these in, too.
     """
-    same = verdicts.filter(F.lower(T.trim("relation")) == "same").select(F.least("a_id", "b_id").alias("x"), F.greatest("a_id", "b_id").alias("y")).distinct()
-    ok = ranked.withColumn("x", F.least("a_id", "b_id")).withColumn("y", F.greatest("a_id", "b_id")).join(same, ["x", "y"], "left_semi")
-    codes = requirements.select("source_file", F.col("id").alias("a_id"), T.is_position("item_number").alias("a_is"))
-    sides = ok.join(codes, ["source_file", "a_id"]).select("source_file", "rank", F.when(F.col("a_is"), F.col("b_id")).otherwise(F.col("a_id")).alias("id"), F.when(F.col("a_is"), F.col("a_id")).otherwise(F.col("b_id")).alias("position_id"))
-    return sides.groupBy("source_file", "id").agg(F.min_by("position_id", "rank").alias("position_id"))
+    return same_sides(ranked, verdicts, requirements).groupBy("source_file", "id").agg(F.min_by("position_id", "rank").alias("position_id"))
+
+
+def _groups(edges: pd.DataFrame) -> pd.DataFrame:
+    """The members of a tender's groups, each with the least position of its group."""
+    parent: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(edges["id"], edges["position_id"], strict=True):
+        parent[find(a)] = find(b)
+    least: dict[str, str] = {}
+    for p in edges["position_id"]:
+        least[find(p)] = min(p, least.get(find(p), p))
+    rows = [(edges["source_file"].iloc[0], x, least[find(x)]) for x in list(parent)]
+    return pd.DataFrame(rows, columns=["source_file", "id", "position_id"])
+
+
+def united(ranked: DataFrame, verdicts: DataFrame, requirements: DataFrame) -> DataFrame:
+    """(source_file, id, position_id): all members of the groups of requirements judged ``same``, positions included, with the least position of the group.
+
+    Equals uniting the pairs in order of rank unless two distinct codes would
+    meet: the first pair of a statement always unites and gives it its code, and
+    every later one unites if its position bears that code. A tender has no more
+    pairs than the budget allows, so its groups are found in one task.
+    """
+    ship(ranked.sparkSession)
+    sides = same_sides(ranked, verdicts, requirements)
+    sides = sides.withColumn("first", F.first("code").over(Window.partitionBy("source_file", "id").orderBy("rank"))).filter("code = first")
+    return sides.select("source_file", "id", "position_id").groupBy("source_file").applyInPandas(_groups, "source_file string, id string, position_id string")
 
 
 def merge_linked(requirements: DataFrame, links: DataFrame) -> DataFrame:
@@ -88,13 +125,13 @@ def merge_linked(requirements: DataFrame, links: DataFrame) -> DataFrame:
 
     Texts are joined in order without repeats, lists united, priority the
     strongest, confidence the weakest, equivalence the first that is known;
-    title and codes come from the position; the id is the least of the group.
+    title and codes come from the first position; the id is the least of the group.
     Requirements outside any group are unchanged.
     """
     root = requirements.select(*REQUIREMENT).join(links.select("source_file", "id", "position_id"), ["source_file", "id"], "left").withColumn("root", F.coalesce("position_id", "id")).drop("position_id")
     order = F.struct("req_order", "id")
     ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("req_order", "id", F.col(c).alias("v")))), lambda r: r["v"])
-    first = F.min_by(F.struct("bullet_point", "category_code", "section_heading", "item_number", "source_language"), F.struct((~T.is_position("item_number")).alias("p"), -F.length("description_en"), "req_order", "id"))
+    first = F.min_by(F.struct("bullet_point", "category_code", "section_heading", "item_number", "source_language"), F.struct((~T.is_position("item_number")).alias("p"), F.when(~T.is_position("item_number"), -F.length("description_en")).otherwise(0).alias("l"), "req_order", "id"))
 
     def once(c: Column) -> Column:
         start = F.struct(F.array().cast("array<string>").alias("parts"), F.array().cast("array<string>").alias("seen"))

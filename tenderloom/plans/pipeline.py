@@ -56,7 +56,7 @@ def to_tree(extractions: DataFrame, chunks: DataFrame, verdicts: DataFrame | Non
     """(requirements, nodes): consolidated, linked by ``verdicts``, with grounded confidence, and grouped by ``taxonomy`` or the fallback."""
     reqs = Cut(consolidate.consolidate(extractions), "requirements").df
     if verdicts is not None:
-        reqs = Cut(link.merge_linked(reqs, link.linked(link.top_candidates(link.candidates(reqs, cfg), reqs, cfg), verdicts, reqs)), "linked").df
+        reqs = Cut(link.merge_linked(reqs, link.united(link.top_candidates(link.candidates(reqs, cfg), reqs, cfg), verdicts, reqs)), "linked").df
     checked = grounding.grounded(reqs, chunks).select("id", F.col("confidence").alias("_checked"))
     reqs = reqs.join(checked, "id").withColumn("confidence", F.col("_checked")).drop("_checked")
     groups = tree.taxonomy_groups(reqs, taxonomy) if taxonomy is not None else tree.fallback_groups(reqs)

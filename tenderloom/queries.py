@@ -421,7 +421,7 @@ def link_closed_form(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def link_merge(spark: SparkSession, d: str) -> DataFrame:
     r = requirements(spark, d)
-    out = link.merge_linked(r, link.linked(link.top_candidates(link.candidates(r), r), _seeded_verdicts(spark, d), r))
+    out = link.merge_linked(r, link.united(link.top_candidates(link.candidates(r), r), _seeded_verdicts(spark, d), r))
     return out.select("source_file", "id", "n_members", F.array_join("source_chunk_ids", " ").alias("sources"), "merge_record.rule", "bullet_point", F.md5("description_en").alias("digest"), "priority", "confidence", "equivalence_allowed", "item_number")
 
 

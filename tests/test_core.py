@@ -343,6 +343,17 @@ def req(id_, order_, item=None, title="t", text="x", de=None, priority="must", c
     return ("f", id_, [f"c_{id_}"], ("standalone", "high", [(f"c_{id_}", "general_spec")], "w"), title, text, de, priority, None, confidence, [], [], category, section, item, lang, order_)
 
 
+def test_guarded_union_of_positions_with_one_code(spark):
+    sides = [("O1", "01.01.0010"), ("O2", "01.01.0010"), ("O3", "02.02.0020"), ("N1", None), ("N2", None), ("N3", None)]
+    reqs = spark.createDataFrame([("f", i, code) for i, code in sides], "source_file string, id string, item_number string")
+    pairs = [("N1", "O1"), ("N1", "O3"), ("N1", "O2"), ("N2", "O3"), ("O2", "N3")]
+    ranked = spark.createDataFrame([("f", a, b, n) for n, (a, b) in enumerate(pairs)], "source_file string, a_id string, b_id string, rank int")
+    verdicts = spark.createDataFrame([(b, a, " Same ") for a, b in pairs], "a_id string, b_id string, relation string")
+    got = values(link.united(ranked, verdicts, reqs), "id", "position_id")
+    assert sorted(got) == [("N1", "O1"), ("N2", "O3"), ("N3", "O1"), ("O1", "O1"), ("O2", "O1"), ("O3", "O3")]
+    assert link.united(ranked, verdicts.limit(0), reqs).count() == 0
+
+
 def test_guarded_link(spark):
     reqs = spark.createDataFrame([req("O1", 0, "01.01.0010"), req("O2", 1, "01.01.0020"), req("N1", 2, confidence="low"), req("N2", 3, priority="optional"), req("N3", 4)], REQ)
     ranked = spark.createDataFrame([("f", "O1", "N1", 1), ("f", "O2", "N1", 2), ("f", "O1", "N2", 3), ("f", "O2", "N2", 4)], "source_file string, a_id string, b_id string, rank int")
