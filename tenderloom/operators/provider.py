@@ -1,7 +1,7 @@
 """Models behind an interface, so that everything around them is deterministic.
 
-A provider turns a text message into a reply text, or None if it failed. It is
-called from ``mapInPandas`` by partition; the caller writes the replies before
+A provider turns a text message into a reply text, or None if it failed, and
+raises ``Truncated`` if the reply was cut off. It is called from ``mapInPandas`` by partition; the caller writes the replies before
 using them twice.
 """
 
@@ -26,6 +26,10 @@ from tenderloom.runtime import ship
 ATTEMPTS = 3
 
 
+class Truncated(Exception):
+    """The reply was cut off for length: asking the same again is no use, asking for less may be."""
+
+
 class Provider(Protocol):
     def reply(self, system: str, message: str) -> str | None: ...
 
@@ -76,9 +80,11 @@ class HttpProvider:
                 request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
                 with urllib.request.urlopen(request, timeout=self.timeout) as r:
                     choice = json.load(r)["choices"][0]
+                if choice.get("finish_reason") == "length":
+                    raise Truncated
                 text = choice["message"]["content"]
                 json.loads(text)
-                return None if choice.get("finish_reason") == "length" else text
+                return text
             except ValueError:
                 continue  # a malformed reply is asked for again at once
             except OSError:
@@ -88,14 +94,21 @@ class HttpProvider:
 
 
 def ask(messages: DataFrame, provider: Provider, system: str, in_flight: int | None = None) -> DataFrame:
-    """``messages`` (key, message) with ``reply``; null where the provider failed. Each task has so many calls in flight."""
+    """``messages`` (key, message) with ``reply``, null where the provider failed, and ``truncated``, whether for length. Each task has so many calls in flight."""
     ship(messages.sparkSession)
     threads = in_flight or env_int("CONCURRENCY_LIMIT", 3)
 
+    def one(message: str) -> tuple[str | None, bool]:
+        try:
+            return provider.reply(system, message), False
+        except Truncated:
+            return None, True
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(threads) as pool:
             for b in batches:
-                b["reply"] = list(pool.map(lambda m: provider.reply(system, m), b["message"]))
-                yield b[["key", "message", "reply"]]
+                replies = list(pool.map(one, b["message"]))
+                b["reply"], b["truncated"] = [r for r, _ in replies], [t for _, t in replies]
+                yield b[["key", "message", "reply", "truncated"]]
 
-    return messages.select("key", "message").mapInPandas(run, "key string, message string, reply string")
+    return messages.select("key", "message").mapInPandas(run, "key string, message string, reply string, truncated boolean")

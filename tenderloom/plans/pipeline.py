@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.config import Linking
@@ -19,6 +19,7 @@ class Result:
     profiles: DataFrame
     chunks: DataFrame
     extractions: DataFrame
+    failures: DataFrame
     requirements: DataFrame
     nodes: DataFrame
 
@@ -32,19 +33,54 @@ def from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return profiles, segment.chunks(segment.segments(known))
 
 
-def extract_chunks(chunks: DataFrame, model: provider.Provider, glean: bool = True) -> DataFrame:
-    """Validated, enriched units of chunks, both passes; every provider call's reply is written before use."""
-    message = extract.user_message(*[F.col(c) for c in ("document_region", "lv_position", "category_code", "section_heading")], F.concat(F.lit("\n"), F.col("content")))
-
-    def once(rows: DataFrame) -> DataFrame:
-        replies = Cut(provider.ask(rows.select(F.col("chunk_id").alias("key"), message.alias("message")), model, SYSTEM), "replies").df
-        items = F.try_variant_get(F.try_parse_json("reply"), "$.extractions", "array<variant>")
-        raw = replies.select(F.col("key").alias("chunk_id"), F.posexplode(items).alias("item_ord", "item"))
-        return extract.validated(raw.select("chunk_id", "item_ord", F.to_json("item").alias("item_json")))
+def ask_chunks(chunks: DataFrame, model: provider.Provider) -> tuple[DataFrame, DataFrame]:
+    """(items, failures): (chunk_id, item_ord, item_json), and (chunk_id, parts, failed) of chunks with parts that gave no list.
 
-    first = once(chunks)
+    Where a reply is cut off for length the halves of that text are asked for
+    instead, until none is cut off or a single character is left; their items
+    follow in the order of the text.
+    """
+    message = extract.user_message(*[F.col(c) for c in ("document_region", "lv_position", "category_code", "section_heading")], F.concat(F.lit("\n"), F.col("content")))
+    columns = ["chunk_id", "document_region", "lv_position", "category_code", "section_heading", "content"]
+    asked = chunks.select(*columns, F.lit("").alias("path"))
+    ended = []
+    while True:
+        asked = Cut(asked, "asked").df
+        key = F.concat("chunk_id", F.lit("/"), "path")
+        replies = Cut(provider.ask(asked.select(key.alias("key"), message.alias("message")), model, SYSTEM), "replies").df
+        placed = replies.select(F.regexp_replace("key", "/[01]*$", "").alias("chunk_id"), F.substring_index("key", "/", -1).alias("path"), "reply", "truncated")
+        cut_off = asked.join(placed.filter("truncated"), ["chunk_id", "path"], "left_semi").filter(F.length("content") > 1)
+        ended.append(placed.join(cut_off.select("chunk_id", "path"), ["chunk_id", "path"], "left_anti"))
+        if not replies.filter("truncated").isEmpty() and not cut_off.isEmpty():
+            halved = cut_off.select(*columns[:-1], "path", F.posexplode(extract.halves(F.col("content"))).alias("half", "content"))
+            asked = halved.select(*columns, F.concat("path", F.col("half").cast("string")).alias("path"))
+            continue
+        break
+    replies = ended[0]
+    for more in ended[1:]:
+        replies = replies.unionByName(more)
+    listed = replies.withColumn("items", F.try_variant_get(F.try_parse_json("reply"), "$.extractions", "array<variant>"))
+    failures = listed.groupBy("chunk_id").agg(F.count("*").alias("parts"), F.count_if(F.col("items").isNull()).alias("failed")).filter("failed > 0")
+    raw = listed.select("chunk_id", "path", F.posexplode("items").alias("pos", "item")).select("chunk_id", "path", "pos", F.to_json("item").alias("item_json"))
+    order = F.row_number().over(Window.partitionBy("chunk_id").orderBy("path", "pos")) - 1
+    return raw.select("chunk_id", order.alias("item_ord"), "item_json"), failures
+
+
+def extract_chunks(chunks: DataFrame, model: provider.Provider, glean: bool = True, failures: list[DataFrame] | None = None) -> DataFrame:
+    """Validated, enriched units of chunks, both passes; every provider call's reply is written before use.
+
+    What failed of each pass is added to ``failures`` as (chunk_id, parts, failed, pass).
+    """
+
+    def once(rows: DataFrame, no: int) -> DataFrame:
+        raw, failed = ask_chunks(rows, model)
+        if failures is not None:
+            failures.append(failed.withColumn("pass", F.lit(no)))
+        return extract.validated(raw)
+
+    first = once(chunks, 0)
     if glean:
-        more = once(extract.glean_candidates(chunks, first))
+        more = once(extract.glean_candidates(chunks, first), 1)
         first = extract.both_passes(first.withColumn("pass", F.lit(0)), more.withColumn("pass", F.lit(1)))
     else:
         first = first.withColumn("pass", F.lit(0))
@@ -67,9 +103,10 @@ def run(lines: DataFrame, model: provider.Provider, verdicts: DataFrame | None =
     """All stages. The node table must meet the output contract, else this fails."""
     profiles, rows = from_lines(lines)
     chunks = Cut(rows, "chunks").df
-    units = Cut(extract_chunks(chunks, model), "units").df
+    failed: list[DataFrame] = []
+    units = Cut(extract_chunks(chunks, model, failures=failed), "units").df
     reqs, nodes = to_tree(units, chunks, verdicts, taxonomy)
     nodes = Cut(nodes, "nodes").df
     if not tree.broken_nodes(nodes).isEmpty():
         raise ValueError("the tree breaks the output contract")
-    return Result(profiles, chunks, units, reqs, nodes)
+    return Result(profiles, chunks, units, failed[0].unionByName(failed[1]), reqs, nodes)

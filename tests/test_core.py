@@ -1,3 +1,4 @@
+import io
 import json
 import random
 import re
@@ -343,6 +344,32 @@ def req(id_, order_, item=None, title="t", text="x", de=None, priority="must", c
     return ("f", id_, [f"c_{id_}"], ("standalone", "high", [(f"c_{id_}", "general_spec")], "w"), title, text, de, priority, None, confidence, [], [], category, section, item, lang, order_)
 
 
+class Short:
+    """Lists the words of a message, but is cut off beyond two; fails at ``bad``."""
+
+    def reply(self, system, message):
+        words = message.split("\n\n", 1)[-1].split()
+        if len(words) > 2:
+            raise provider.Truncated
+        return None if "bad" in words else json.dumps({"extractions": [{"bullet_point": w} for w in words]})
+
+
+def test_truncated_replies_are_asked_for_in_halves(spark):
+    chunks = spark.createDataFrame([("a/0", "r", "one two\nthree four\nfive six seven"), ("b", "r", "x"), ("c", "r", "bad y z")], "chunk_id string, document_region string, content string")
+    chunks = chunks.selectExpr("*", *[f"cast(null as string) as {c}" for c in ("lv_position", "category_code", "section_heading")])
+    items, failures = pipeline.ask_chunks(chunks, Short())
+    got = sorted((c, n, json.loads(j)["bullet_point"]) for c, n, j in values(items, "chunk_id", "item_ord", "item_json"))
+    assert got == [("a/0", n, w) for n, w in enumerate("one two three four five six seven".split())] + [("b", 0, "x"), ("c", 0, "z")]
+    assert values(failures, "chunk_id", "parts", "failed") == [("c", 2, 1)]
+
+
+def test_a_reply_cut_off_is_told_before_it_is_parsed(monkeypatch):
+    monkeypatch.setenv("KEY_OF_TEST", "k")
+    monkeypatch.setattr(provider.urllib.request, "urlopen", lambda *a, **k: io.BytesIO(json.dumps({"choices": [{"finish_reason": "length", "message": {"content": '{"extr'}}]}).encode()))
+    with pytest.raises(provider.Truncated):
+        provider.HttpProvider("http://localhost", "m", "KEY_OF_TEST").reply("", "m")
+
+
 def test_guarded_union_of_positions_with_one_code(spark):
     sides = [("O1", "01.01.0010"), ("O2", "01.01.0010"), ("O3", "02.02.0020"), ("N1", None), ("N2", None), ("N3", None)]
     reqs = spark.createDataFrame([("f", i, code) for i, code in sides], "source_file string, id string, item_number string")
