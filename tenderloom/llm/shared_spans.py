@@ -32,8 +32,6 @@ from tenderloom.runtime import Cut
 
 SPAN = 450
 SHINGLE = 5
-#: Paragraphs with fewer words aren't clustered.
-LEAST_WORDS = 10
 #: A paragraph ends after a sentence or at a blank line; one longer than LONG is cut at winnowed places.
 END = re.compile(r"(?<=[.!?])\s+|\n\s*\n")
 LONG, GRAM, WINDOW = 200, 12, 32
@@ -260,7 +258,7 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             at = 0
             for m in [*END.finditer(t), None]:  # whole, however long
                 piece = t[at : m.start() if m else None]
-                if len(piece.split()) >= LEAST_WORDS:
+                if piece.strip():
                     rows.append((d, at, piece))
                 at = m.end() if m else at
         if rows:
@@ -271,8 +269,8 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: float = 0.95) -> DataFrame:
     """(doc_id, begin, cluster_doc, cluster_begin, links, removed): one row per paragraph that repeats another, exactly or nearly.
 
-    Paragraphs with at least LEAST_WORDS words whose five-word shingles have a Jaccard
-    similarity of ``similarity`` are linked; a cluster is what links connect,
+    Paragraphs with at least SHINGLE words whose five-word shingles have a Jaccard
+    similarity of ``similarity`` are linked, shorter ones only repeat equal ones; a cluster is what links connect,
     named by its first paragraph, which stays while the others are
     ``removed``. Equal paragraphs are one node, so copies are never paired;
     ``links`` counts the different texts that a paragraph is linked to.
@@ -286,7 +284,8 @@ def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: fl
     placed = Cut(pieces.select("doc_id", "begin", "text", F.md5("text").alias("digest")).dropDuplicates(["doc_id", "begin"]), "pieces").df
     once = placed.groupBy("digest").agg(F.min("text").alias("text"), F.min(F.struct("doc_id", "begin")).alias("first"), F.count("*").alias("copies"))
     texts = Cut(once.select(F.monotonically_increasing_id().alias("pid"), "*"), "texts").df
-    made = Cut(texts.select("pid", "text").mapInArrow(_shingle_rows(bands, rows), "pid long, grams array<long>, bands array<long>"), "grams").df
+    long = texts.select("pid", "text").filter(F.size(F.split(F.trim("text"), r"(?U)\s+")) >= SHINGLE)
+    made = Cut(long.mapInArrow(_shingle_rows(bands, rows), "pid long, grams array<long>, bands array<long>"), "grams").df
     keys = made.select("pid", F.explode("bands").alias("band"))
     a, b = keys.select(F.col("pid").alias("u"), "band"), keys.select(F.col("pid").alias("v"), "band")
     met = a.join(b, "band").filter("u < v").select("u", "v").distinct()

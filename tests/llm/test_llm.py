@@ -398,6 +398,13 @@ def test_paragraph_clusters(spark):
     assert shared_spans.paragraph_clusters(df.limit(0)).count() == 0
 
 
+def test_short_paragraphs_are_clustered(spark):
+    texts = ["Ja wohl. Die Stelle prüft jedes Blatt. Das eine nur hier.", "Die Stelle prüft jedes Blatt.\n\nJa wohl.", "Nein doch. Die Stelle prüft kein Blatt."]
+    df = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    got = values(shared_spans.paragraph_clusters(df), "doc_id", "begin", "cluster_doc", "cluster_begin", "removed")
+    assert sorted(got) == [(1, 0, 1, 0, False), (1, 9, 1, 9, False), (2, 0, 1, 9, True), (2, 31, 1, 0, True)]
+
+
 # The registered queries.
 def sql_names():
     from tenderloom.llm import queries
