@@ -76,8 +76,8 @@ def mapped(text: Column) -> Column:
 
 
 def outline(text: Column) -> Column:
-    """Column: a hash that equal forms have in common: the text without letters and all beyond ASCII, which collation may equate."""
-    return F.xxhash64(F.regexp_replace(text, r"[^\x20-\x40\n]+", ""))
+    """Column: a hash that equal forms have in common: the text without letters, all beyond ASCII and ``; < = >``, which collation may equate."""
+    return F.xxhash64(F.regexp_replace(text, r"[^\x20-\x3a?@\n]+", ""))
 
 
 def classes(values: DataFrame, value: str) -> DataFrame:

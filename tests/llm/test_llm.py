@@ -398,6 +398,12 @@ def test_paragraph_clusters(spark):
     assert shared_spans.paragraph_clusters(df.limit(0)).count() == 0
 
 
+def test_composed_signs_share_an_outline(spark):
+    spelled = [("a \u2260 b", "a =\u0338 b"), ("c \u226e d", "c <\u0338 d"), ("e \u226f f", "e >\u0338 f"), ("g\u037e h", "g; h")]
+    df = spark.createDataFrame([(f"{n}{s}", t) for n, pair in enumerate(spelled) for s, t in zip("xy", pair, strict=True)], "chunk_id string, content string").selectExpr("*", "timestamp'2024-01-01' as loaded_at")
+    assert sorted(values(lookalike.same_to_a_reader(df))) == [(f"{n}x", f"{n}y") for n in range(4)]
+
+
 def test_short_paragraphs_are_clustered(spark):
     texts = ["Ja wohl. Die Stelle prüft jedes Blatt. Das eine nur hier.", "Die Stelle prüft jedes Blatt.\n\nJa wohl.", "Nein doch. Die Stelle prüft kein Blatt."]
     df = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
