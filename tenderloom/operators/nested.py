@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.operators.latest import latest
+from tenderloom.runtime import ship
 
 CHILDREN, CHUNKS = "deliverableArray", "procurementDocumentChunkIdArray"
 #: Nodes buffered before a batch of rows is handed to Spark.
@@ -181,6 +182,7 @@ def _mapper(rows, names: list[str]):
 
 
 def _flatten(trees: DataFrame, rows, schema: str) -> DataFrame:
+    ship(trees.sparkSession)
     names = [c.split()[0] for c in schema.split(", ")]
     once = latest(trees, "tree_id", ["produced_at", "loaded_at"], ["tree_id", "tree_json"])
     return once.mapInPandas(_mapper(rows, names), schema)

@@ -3,8 +3,9 @@ and checking the size of what is broadcast.
 
 Lineage is cut by writing a Parquet table into the folder the cluster names in
 ``spark.checkpoint.dir`` (shared by all executors, so a lost executor costs
-nothing but the running tasks). Where that setting is absent, as in tests, a
-folder of this process is used and removed at its end.
+nothing but the running tasks). Where that setting is absent, as in tests on a
+local master, a folder of this process is used and removed at its end; on a
+cluster its absence is an error, for no folder of one machine is seen by all.
 """
 
 from __future__ import annotations
@@ -14,18 +15,23 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
 _SHIPPED: str | None = None
+_SCOPES: list[list[Cut]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for written intermediates: ``spark.checkpoint.dir`` or, where unset, one of this process."""
+    """The folder for written intermediates: ``spark.checkpoint.dir`` or, where unset and the master is local, one of this process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="tenderloom-"))
         atexit.register(shutil.rmtree, _OWN[0], True)
@@ -56,6 +62,8 @@ class Cut:
         fs, path = self._place()
         fs.deleteOnExit(path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        if _SCOPES:
+            _SCOPES[-1].append(self)
 
     def _place(self) -> tuple:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -66,9 +74,15 @@ class Cut:
         fs.delete(path, True)
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """``df`` written to the shared folder and read back, for results that outlive the operator."""
-    return Cut(df, name).df
+@contextmanager
+def scope() -> Iterator[None]:
+    """Deletes at its end every table that operators wrote within; their results must have been used or written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for written in _SCOPES.pop():
+            written.drop()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
