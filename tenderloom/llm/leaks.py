@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sized
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderloom.runtime import Cut, fits
+from tenderloom.runtime import Cut, fits, ship
 
 MIN_WORDS = 12
 #: Items up to this many are broadcast (their text is then measured, too); more are met through a join of seeds.
@@ -41,38 +42,47 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def tiles(doc: list, item: list, starts: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """(place in doc, place in item, length): greedy non-overlapping common runs of at least ``least``, longest first.
+def runs(starts: Iterable[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(place in doc, place in item, length): the longest common runs behind pairs of places, given in order of the first, from which ``least`` words agree.
 
-    ``starts`` are the pairs of places from which ``least`` words agree. Ties
-    go to the earlier place in the document, then in the item.
+    Pairs that follow each other on a diagonal are one run, so a text and an
+    item of one repeated word give a run for each diagonal, not for each pair.
     """
-    runs = []
-    known = set(starts)
+    open_: dict[int, list[int]] = {}
+    done = []
     for a, b in starts:
-        if (a - 1, b - 1) not in known:
-            n = least
-            while a + n < len(doc) and b + n < len(item) and doc[a + n] == item[b + n]:
-                n += 1
-            runs.append((a, b, n))
-    used_doc, used_item, found = [False] * len(doc), [False] * len(item), []
-    while runs:
-        runs.sort(key=lambda r: (-r[2], r[0], r[1]))
-        a, b, n = runs.pop(0)
-        found.append((a, b, n))
-        used_doc[a : a + n] = [True] * n
-        used_item[b : b + n] = [True] * n
-        left = []
-        for a, b, n in runs:
-            i = 0
-            while i < n:
-                j = i
-                while j < n and not used_doc[a + j] and not used_item[b + j]:
-                    j += 1
-                if j - i >= least:
-                    left.append((a + i, b + i, j - i))
-                i = j + 1
-        runs = left
+        held = open_.get(b - a)
+        if held and held[0] + held[2] - least + 1 == a:
+            held[2] += 1
+        else:
+            if held:
+                done.append(tuple(held))
+            open_[b - a] = [a, b, least]
+    return done + [tuple(x) for x in open_.values()]
+
+
+def tiles(doc: Sized, item: Sized, starts: Iterable[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(place in doc, place in item, length): greedy non-overlapping common runs of at least ``least``, longest first.
+
+    ``starts`` are as for ``runs``. Ties go to the earlier place in the
+    document, then in the item. A run is cut to what is left of it only when it
+    comes up, for what is left is never longer.
+    """
+    todo = [(-n, a, b) for a, b, n in runs(starts, least)]
+    heapify(todo)
+    used_doc, used_item, found = np.zeros(len(doc), bool), np.zeros(len(item), bool), []
+    while todo:
+        n, a, b = heappop(todo)
+        n = -n
+        free = ~(used_doc[a : a + n] | used_item[b : b + n])
+        if free.all():
+            found.append((a, b, n))
+            used_doc[a : a + n] = used_item[b : b + n] = True
+            continue
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+        for i, j in edge.reshape(-1, 2).tolist():
+            if j - i >= least:
+                heappush(todo, (i - j, a + i, b + i))
     return sorted(found)
 
 
@@ -114,7 +124,7 @@ class Items:
                 if np.array_equal(ids[p : p + self.least], self.ids[k][i : i + self.least]):
                     starts[k].append((p, i))
         for k, s in starts.items():
-            found = tiles(ids.tolist(), self.ids[k].tolist(), s, self.least)
+            found = tiles(ids, self.ids[k], s, self.least)
             yield k, sum(n for *_, n in found), max(n for *_, n in found), len(found)
 
 
@@ -155,27 +165,31 @@ def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, broadc
 
     A word is a longest run of letters or digits, lower-cased.
     ``covered_words`` is the number of the item's words under the tiles,
-    ``longest`` the longest tile. Null and short texts match nothing; repeated
-    rows of a ``doc_id`` or ``item_id`` count once (the greatest text). The
+    ``longest`` the longest tile. Null and short texts match nothing. Every
+    text of a repeated ``doc_id`` counts: the row comes from the one of them
+    that covers the item best (most covered words, then the longest tile, then
+    the most tiles). Of a repeated ``item_id`` the greatest text counts. The
     items are broadcast if a look at their number and size allows it (or as
     ``broadcast`` says); the documents are then read in one narrow pass.
     Otherwise distinct seeds of both sides are joined, so a seed in a third of
-    all documents is spread by adaptive skew handling, and the pairs that met
-    are tiled. Both ways give the same rows.
+    all documents is spread by adaptive skew handling, and all texts of the
+    pairs that met are tiled. Both ways give the same rows.
     """
     spark = documents.sparkSession
+    ship(spark)
     held = items.filter("item_id is not null and text is not null").groupBy("item_id").agg(F.max("text").alias("text"))
-    docs = documents.filter("doc_id is not null").select("doc_id", "text")
+    docs = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
     if broadcast is None:
         broadcast = fits(held, BROADCAST_ITEMS) and (held.agg(F.sum(F.length("text"))).first()[0] or 0) <= BROADCAST_CHARS
     if broadcast:
         index = Items([(r["item_id"], r["text"]) for r in held.collect()], least)
-        return docs.mapInPandas(_against(spark.sparkContext.broadcast(index)), LEAKS).groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in _NAMES[2:]])
-    met = _seeds(docs, "doc_id", least).join(_seeds(held, "item_id", least), "seed").select("doc_id", "item_id").distinct()
-    met = Cut(met, "met").df
-    texts = docs.groupBy("doc_id").agg(F.max("text").alias("text"))
-    both = met.join(texts, "doc_id").join(held.withColumnRenamed("text", "item_text"), "item_id")
-    return both.select("doc_id", "text", "item_id", "item_text").mapInPandas(_pairs(least), LEAKS)
+        found = docs.mapInPandas(_against(spark.sparkContext.broadcast(index)), LEAKS)
+    else:
+        met = Cut(_seeds(docs, "doc_id", least).join(_seeds(held, "item_id", least), "seed").select("doc_id", "item_id").distinct(), "met").df
+        both = met.join(docs.distinct(), "doc_id").join(held.withColumnRenamed("text", "item_text"), "item_id")
+        found = both.select("doc_id", "text", "item_id", "item_text").mapInPandas(_pairs(least), LEAKS)
+    best = F.max(F.struct("covered_words", "longest", "tiles", "item_words")).alias("r")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", *[F.col(f"r.{c}") for c in _NAMES[2:]])
 
 
 def leaked_coverage(found: DataFrame, least_share: float = 0.5) -> DataFrame:

@@ -279,6 +279,43 @@ def test_tiles():
     assert leaks.tiles(doc, item, starts, 3) == [(0, 4, 4), (5, 0, 4)]
 
 
+def brute_tiles(doc, item, least):
+    """Greedy string tiling by its definition: again and again the longest common run of unmarked words."""
+    used_doc, used_item, found = [False] * len(doc), [False] * len(item), []
+    while True:
+        best = None
+        for a in range(len(doc)):
+            for b in range(len(item)):
+                n = 0
+                while a + n < len(doc) and b + n < len(item) and doc[a + n] == item[b + n] and not used_doc[a + n] and not used_item[b + n]:
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (a, b, n)
+        if best is None:
+            return sorted(found)
+        found.append(best)
+        a, b, n = best
+        used_doc[a : a + n] = used_item[b : b + n] = [True] * n
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_tiles_against_brute_force(seed):
+    rng = random.Random(seed)
+    doc, item = (rng.choices("abc"[: rng.randint(1, 3)], k=rng.randint(3, 40)) for _ in range(2))
+    starts = [(i, j) for i in range(len(doc) - 2) for j in range(len(item) - 2) if doc[i : i + 3] == item[j : j + 3]]
+    assert leaks.tiles(doc, item, starts, 3) == brute_tiles(doc, item, 3)
+
+
+def test_leaks_of_all_versions_both_ways(spark):
+    """A leak in any text of a repeated id counts, and the row is that of its best text."""
+    w = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(w[:20])), (1, "zz harmless"), (2, " ".join(w[:13])), (2, " ".join(w[20:39])), (2, " ".join(w[:13])), (3, " ".join(["x"] * 300)), (4, None), (4, " ".join(w[5:30]))]
+    items = [(1, " ".join(w)), (2, " ".join(["x"] * 50))]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, two = (sorted(values(leaks.leaks(docs, items, broadcast=how))) for how in (True, False))
+    assert one == two == [(1, 1, 20, 40, 20, 1), (2, 1, 19, 40, 19, 1), (3, 2, 50, 50, 50, 1), (4, 1, 25, 40, 25, 1)]
+
+
 def test_leaks_both_ways(spark):
     rng = random.Random(5)
     ws = [f"w{i}" for i in range(40)]
