@@ -23,7 +23,12 @@ from tenderloom.runtime import Cut
 # Letters of other scripts that look like a Latin letter, in the order of the second line.
 CYRILLIC, CYRILLIC_AS = "АВЕЅІЈКМНОРСТХҮԌԚԜаеѕіјорсухһԁԛԝѵӏѐёїӓӧҐ", "ABESIJKMHOPCTXYGQWaesijopcyxhdqwvlèëïäöҐ"
 GREEK, GREEK_AS = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονϲ", "ABEZHIKMNOPTYXCjovc"
+ARMENIAN, ARMENIAN_AS = "ՕօոսհցզՏՍԼ", "OonuhgqSUL"
+CHEROKEE, CHEROKEE_AS = "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏏᏒᏔᏙᏚᏞᏟᏢᏦᏴ", "DRTiAJEWMHGZbRWVSLCPKB"
+LISU, LISU_AS = "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"
 OTHER, OTHER_AS = "ıɑɡ‐‑·∙⋅", "iag--···"
+# Extended Arabic-Indic digits that look like the Arabic-Indic ones; four, five and six don't.
+DIGITS, DIGITS_AS = "۰۱۲۳۷۸۹", "٠١٢٣٧٨٩"
 #: Invisible characters that the collation weighs, or that could stand inside a base and its accent.
 UNSEEN = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏⁠⁡⁢⁣⁤ㅤ﻿ﾠ"
 
@@ -35,7 +40,8 @@ def tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
     Besides the fixed values above, by rule: every space separator and the tab
     is a space, every other line or paragraph separator a line feed;
     wide, narrow, font and no-break variants are their plain character, and so
-    are compatibility ligatures of letters; format characters, variation
+    are compatibility ligatures of letters and Roman numerals, which are written
+    like letters; format characters, variation
     selectors and C0/C1 controls other than tab and line breaks are dropped.
     Superscripts, subscripts, fractions and circled forms look different and
     stay.
@@ -53,14 +59,14 @@ def tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
         elif d := unicodedata.decomposition(c):
             tag, _, rest = d.partition(" ")
             to = unicodedata.normalize("NFKC", c) if tag in ("<wide>", "<narrow>", "<font>", "<noBreak>") else ""
-            if tag == "<compat>" and kind in ("Ll", "Lu", "Lt") and len(rest.split()) > 1:
+            if tag == "<compat>" and (kind == "Nl" or kind in ("Ll", "Lu", "Lt") and len(rest.split()) > 1):
                 to = unicodedata.normalize("NFKC", c)
             if len(to) == 1:
                 one[c] = to
             elif to:
                 many[c] = to
     one |= {"\t": " "} | dict.fromkeys("\x0b\x0c\x85\u2028\u2029", "\n")
-    one |= dict(zip(CYRILLIC + GREEK + OTHER, CYRILLIC_AS + GREEK_AS + OTHER_AS, strict=True))
+    one |= dict(zip(CYRILLIC + GREEK + ARMENIAN + CHEROKEE + LISU + OTHER + DIGITS, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS + CHEROKEE_AS + LISU_AS + OTHER_AS + DIGITS_AS, strict=True))
     one = {a: one.get(b, b) for a, b in one.items() if a not in gone and a != one.get(b, b)}
     return "".join(one), "".join(one.values()), "".join(gone), tuple(many.items())
 
@@ -75,8 +81,21 @@ def mapped(text: Column) -> Column:
     return F.translate(out, source + gone, target)
 
 
+def digits(text: Column) -> Column:
+    """Column: a hash of the digits and other number signs of a mapped text, in order.
+
+    The collation equates digits of one value in all scripts, which a reader
+    tells apart, so they are compared by code point beside it.
+    """
+    return F.xxhash64(F.regexp_replace(text, r"\P{N}+", ""))
+
+
 def outline(text: Column) -> Column:
-    """Column: a hash that equal forms have in common: the text without letters, all beyond ASCII and ``; < = >``, which collation may equate."""
+    """Column: a hash that equal forms have in common: the ASCII digits and signs of a mapped text, without letters, all beyond ASCII and ``; < = >``, which collation may equate.
+
+    ASCII digits may stay, since equal forms have the same ``digits`` and the
+    collation keeps their order among the signs.
+    """
     return F.xxhash64(F.regexp_replace(text, r"[^\x20-\x3a?@\n]+", ""))
 
 
@@ -86,13 +105,15 @@ def classes(values: DataFrame, value: str) -> DataFrame:
     ``values`` has ``value``, its ``digest`` and the ``outline`` of its mapped
     form. Values are reduced to distinct ones first, so a text in a third of
     all rows is one row, and only those whose outline another one shares are
-    collated; all others are alone in their class. Nulls are left out.
+    collated; all others are alone in their class. Values are of one class if
+    their mapped forms are equal under the collation and have the same digits.
+    Nulls are left out.
     """
     outlines = values.filter("digest is not null").select("digest", "outline").distinct().groupBy("outline").agg(F.count("*").alias("_n")).filter("_n > 1").select("outline")
     able = values.join(outlines, "outline", "left_semi").groupBy("digest").agg(F.min(value).alias(value))
-    able = able.withColumn("_form", F.collate(mapped(F.col(value)), "UNICODE"))
-    forms = able.groupBy("_form").agg(F.min(value).alias("canonical"), F.count("*").alias("n_forms")).filter("n_forms > 1")
-    return able.select("digest", "_form").join(forms, "_form").select("canonical", "n_forms", "digest")
+    able = able.withColumn("_mapped", mapped(F.col(value))).select("digest", value, F.collate("_mapped", "UNICODE").alias("_form"), digits(F.col("_mapped")).alias("_digits"))
+    forms = able.groupBy("_form", "_digits").agg(F.min(value).alias("canonical"), F.count("*").alias("n_forms")).filter("n_forms > 1")
+    return able.select("digest", "_form", "_digits").join(forms, ["_form", "_digits"]).select("canonical", "n_forms", "digest")
 
 
 def canonical_chunks(chunks: DataFrame) -> DataFrame:
