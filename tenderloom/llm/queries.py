@@ -77,6 +77,10 @@ def p10_paragraph_clusters(spark: SparkSession, d: str) -> DataFrame:
     return paragraph_clusters(table(spark, d, "documents"))
 
 
+def p8_longest(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("doc_id", "item_id", "item_words", "longest")
+
+
 def p8_coverage(spark: SparkSession, d: str) -> DataFrame:
     from tenderloom.llm.leaks import leaked_coverage
 
@@ -105,22 +109,53 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_longest, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 _REQUIREMENTS = """requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1)"""
 _CHUNKS = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1)"""
 
 
 def _look_alike(x: str) -> str:
-    """The mapping of ``lookalike`` as SQL; NUL, which a SQL text can't hold, is left out."""
-    from tenderloom.llm.lookalike import tables
-
-    source, target, gone, many = tables()
+    """A reader's form as SQL. The letters and digits that other scripts share are the fixed values of ``lookalike``; all else is found by the names of the characters, not by their decompositions as there."""
+    import re
+    import sys
+    import unicodedata
+
+    from tenderloom.llm import lookalike as L
+
+    one, many, gone = {}, {}, []
+    styled = re.compile(r"MATHEMATICAL [A-Z -]*?(CAPITAL|SMALL|DIGIT) ([A-Z]|ZERO|ONE|TWO|THREE|FOUR|FIVE|SIX|SEVEN|EIGHT|NINE)")
+    for c in map(chr, range(1, sys.maxunicode + 1)):
+        name, kind = unicodedata.name(c, ""), unicodedata.category(c)
+        if name.startswith("FULLWIDTH ") and len(plain := _named(name[10:])) == 1:
+            one[c] = plain
+        elif name.startswith("LATIN SMALL LIGATURE "):
+            many[c] = name[21:].replace("LONG S T", "ST").lower()
+        elif m := styled.fullmatch(name):
+            one[c] = _named(f"LATIN {m[1]} LETTER {m[2]}" if m[1] != "DIGIT" else f"DIGIT {m[2]}")
+        elif kind == "Zs" or c == "\t":
+            one[c] = " "
+        elif kind in ("Zl", "Zp") or c in "\x0b\x0c\x85":
+            one[c] = "\n"
+        elif kind in ("Cc", "Cf") and c not in "\n\r" or name.startswith("VARIATION SELECTOR-") or c in L.UNSEEN:
+            gone.append(c)
+    for a, b in ((L.CYRILLIC, L.CYRILLIC_AS), (L.GREEK, L.GREEK_AS), (L.ARMENIAN, L.ARMENIAN_AS), (L.CHEROKEE, L.CHEROKEE_AS), (L.LISU, L.LISU_AS), (L.OTHER, L.OTHER_AS), (L.DIGITS, L.DIGITS_AS)):
+        one.update(zip(a, b, strict=True))
+    one = {a: b for a, b in one.items() if a != b and a not in gone}
     quote = lambda t: "'" + t.replace("'", "''") + "'"
     x = f"replace(replace({x}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
-    for a, b in many:
+    for a, b in many.items():
         x = f"replace({x}, {quote(a)}, {quote(b)})"
-    return f"nfc_normalize(translate({x}, {quote(source + gone.replace(chr(0), ''))}, {quote(target)}))"
+    return f"nfc_normalize(translate({x}, {quote(''.join(one) + ''.join(gone))}, {quote(''.join(one.values()))}))"
+
+
+def _named(name: str) -> str:
+    import unicodedata
+
+    try:
+        return unicodedata.lookup(name)
+    except KeyError:
+        return ""
 
 
 def _sql() -> dict[str, str]:
@@ -136,11 +171,22 @@ select id, min(other) as group_id from r group by 1 having count(*) > 1""",
         "p5_found": rf"""with {_REQUIREMENTS}, t as (select 'requirement' as kind, id as key, description_en as text from requirements1 union all select 'extraction', unit_key, max(bullet_point) from extractions where unit_key is not null group by unit_key),
 w as (select kind, key, list_distinct({words.format(x="text")}) as ws from t), l as (select kind, key, len(ws) as n, ws from w where len(ws) >= 6), x as (select kind, key, n, unnest(ws) as word from l)
 select a.kind, a.key as a_key, b.key as b_key from x a join x b on a.kind = b.kind and a.word = b.word and a.key < b.key group by 1, 2, 3, a.n, b.n having count(*) * 5 >= greatest(a.n, b.n) * 4""",
+        "p5_classes": rf"""with recursive {_REQUIREMENTS}, t as (select 'requirement' as kind, id as key, description_en as text from requirements1 union all select 'extraction', unit_key, max(bullet_point) from extractions where unit_key is not null group by unit_key),
+w as (select kind, key, list_distinct({words.format(x="text")}) as ws from t), l as (select kind, key, len(ws) as n, ws from w where len(ws) >= 6), x as (select kind, key, n, unnest(ws) as word from l),
+e as (select a.kind, a.key as a, b.key as b from x a join x b on a.kind = b.kind and a.word = b.word and a.key <> b.key group by 1, 2, 3, a.n, b.n having count(*) * 5 >= greatest(a.n, b.n) * 4),
+r(kind, key, other) as (select kind, key, key from t union select r.kind, r.key, e.b from r join e on e.kind = r.kind and e.a = r.other), c as (select kind, key, min(other) as class_id from r group by 1, 2)
+select c.kind, c.key, class_id, count(e.b) as links from c left join e on e.kind = c.kind and e.a = c.key group by 1, 2, 3""",
         "p6_found": f"""with {_CHUNKS}, f as (select chunk_id, content, md5({_look_alike("content")}) as form from chunks1 where content is not null)
 select a.chunk_id as a_chunk_id, b.chunk_id as b_chunk_id from f a join f b on a.form = b.form and a.chunk_id < b.chunk_id and a.content <> b.content""",
+        "p6_canonical": f"""with {_CHUNKS}, f as (select chunk_id, content, md5({_look_alike("content")}) as form from chunks1), g as (select form, md5(min(content)) as canonical, count(distinct content) as n from f where content is not null group by 1)
+select chunk_id, canonical as form, n as n_forms from f left join g using (form)""",
         "p7_found": rf"""with {_REQUIREMENTS}, v as (select *, regexp_replace(item_number, '^\s+|\s+$', '', 'g') as item, length(regexp_replace(description_en, '^\s+|\s+$', '', 'g')) as n from requirements1 where item_number is not null)
 select source_file, item as item_number, arg_max(id, (n, updated_at, id)) filter (where n > 0) as description_id, arg_max(id, (updated_at, id)) filter (where confidence is not null) as confidence_id,
 arg_max(id, (case confidence when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end, updated_at, id)) filter (where priority is not null) as priority_id from v group by 1, 2 having count(*) > 1""",
+        "p8_longest": f"""with d as (select doc_id, {words.format(x="text")} as w from documents), i as (select item_id, {words.format(x="text")} as w from benchmark),
+g as (select item_id, k, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)), h as (select doc_id, k, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12)),
+m as (select doc_id, item_id, h.k - g.k as diagonal, h.k - row_number() over (partition by doc_id, item_id, h.k - g.k order by h.k) as island from h join g using (run)), r as (select doc_id, item_id, count(*) + 11 as n from m group by doc_id, item_id, diagonal, island)
+select doc_id, item_id, len(w)::int as item_words, max(n)::int as longest from r join i using (item_id) group by 1, 2, 3""",
         "p8_found": f"""with d as (select doc_id, {words.format(x="text")} as w from documents), i as (select item_id, {words.format(x="text")} as w from benchmark),
 g as (select item_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)), h as (select doc_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12))
 select distinct doc_id, item_id from g join h using (run)""",

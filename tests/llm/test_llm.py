@@ -206,6 +206,15 @@ def test_near_pairs_of_loose_classes(spark, monkeypatch):
     assert set(values(near_sets.near_pairs(spark.createDataFrame(rows, "kind int, key string, text string")))) == brute_pairs(rows)
 
 
+def test_near_pairs_of_split_runs(spark, monkeypatch):
+    """A rare word of many records is compared in blocks, and no pair is lost between them."""
+    monkeypatch.setattr(near_sets, "PAIRS_PER_RECORD", 10**6)  # every word is rare
+    monkeypatch.setattr(near_sets, "RUN", 8)
+    rows = small_edits(random.Random(12), 400, [f"w{i}" for i in range(30)], 6, 20)
+    got = values(near_sets.near_pairs(spark.createDataFrame(rows, "kind int, key string, text string")))
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows)
+
+
 def test_near_pairs_edges(spark):
     same = "one two three four five six"
     rows = [(0, "a", same), (0, "b", same.upper() + " !"), (1, "c", same), (0, "d", None), (0, "e", ""), (0, "f", "one two"), (0, "g", "one two"), (0, "h", "six five four three two one one")]
