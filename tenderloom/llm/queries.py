@@ -37,6 +37,12 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return oversized_pieces(table(spark, d, "chunks"))
 
 
+def p3_reassembled(spark: SparkSession, d: str) -> DataFrame:
+    from tenderloom.llm.pieces import reassembled
+
+    return reassembled(table(spark, d, "chunks"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_leaks(spark, d).select("doc_id", "item_id")
 
@@ -109,7 +115,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_longest, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p3_reassembled, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_longest, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 _REQUIREMENTS = """requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1)"""
 _CHUNKS = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1)"""
@@ -168,6 +174,7 @@ e as (select a, b from s union select b, a from s union select id, low from c jo
 r(id, other) as (select id, id from requirements1 union select r.id, e.b from r join e on e.a = r.other)
 select id, min(other) as group_id from r group by 1 having count(*) > 1""",
         "p3_found": f"with {_CHUNKS} select chunk_id from chunks1 where length(content) > 12000",
+        "p3_reassembled": f"with {_CHUNKS} select chunk_id, length(content) as n_chars, md5(content) as digest, true as within_limit, true as within_overlap from chunks1 where length(content) > 12000",
         "p5_found": rf"""with {_REQUIREMENTS}, t as (select 'requirement' as kind, id as key, description_en as text from requirements1 union all select 'extraction', unit_key, max(bullet_point) from extractions where unit_key is not null group by unit_key),
 w as (select kind, key, list_distinct({words.format(x="text")}) as ws from t), l as (select kind, key, len(ws) as n, ws from w where len(ws) >= 6), x as (select kind, key, n, unnest(ws) as word from l)
 select a.kind, a.key as a_key, b.key as b_key from x a join x b on a.kind = b.kind and a.word = b.word and a.key < b.key group by 1, 2, 3, a.n, b.n having count(*) * 5 >= greatest(a.n, b.n) * 4""",

@@ -145,6 +145,37 @@ def test_pieces_prefer_natural_cuts():
         pieces.split("x", 5, 5)
 
 
+def test_pieces_follow_the_tree():
+    """Sections of a higher rank stay together before those within them, nested list items stay with their parent."""
+    part = lambda n: f"## Part {n}\n\n" + "Some words here. " * 4 + "\n\n"
+    text = "# One\n\n" + part(1) + part(2) + "# Two\n\n" + part(3) + part(4)
+    assert [text[o:e][:5] for _, o, e in pieces.split(text, 210, 10)] == ["# One", "# Two"]
+    items = "".join(f"- item {i} of the list\n" + "".join(f"  - nested {i}.{j} with text\n" for j in range(3)) for i in range(6))
+    cut = [items[o:e] for _, o, e in pieces.split(items, 240, 10)]
+    assert len(cut) > 2 and all(c.startswith("- item") for c in cut)
+    codes = "".join(f"01.0{i} Group\n" + "".join(f"01.0{i}.00{j}0 Position with words\n" for j in range(1, 4)) for i in range(1, 5))
+    assert all(re.match(r"01\.0\d Group", codes[o:e]) for _, o, e in pieces.split(codes, 150, 10))
+    html = "<ul>\n" + "".join(f"<li>first {i}\n<ul>\n<li>second {i}</li>\n<li>third {i}</li>\n</ul>\n</li>\n" for i in range(6)) + "</ul>\n"
+    assert all(html[o:e].startswith(("<ul>", "<li>first", "</ul>")) for _, o, e in pieces.split(html, 160, 10))
+
+
+def test_no_piece_begins_within_a_token():
+    text = "".join(f"01.02.00{i:03d} Menge 4.5 Stück, Maß 2.50!x Ende.\n" for i in range(200))
+    starts = [b for b, o, e in pieces.split(text, 900, 130)][1:]
+    assert starts and all(text[b - 1].isspace() for b in starts)
+    mixed = "word " * 3 + "x" * 50 + " tail" * 10
+    assert [(b, o) for b, o, _ in pieces.split(mixed, 60, 20)] == [(0, 0), (5, 15), (35, 55), (66, 66), (91, 106)]  # 35: the cut itself is within the run
+    unbroken = "y" * 500
+    assert [o - b for b, o, e in pieces.split(unbroken, 100, 20)] == [0, 20, 20, 20, 20, 20, 20]
+
+
+def test_the_last_version_decides_whether_it_is_oversized(spark):
+    rows = [("a", "x " * 9000, datetime(2024, 1, 1)), ("a", "short now", datetime(2024, 1, 2)), ("b", "short before", datetime(2024, 1, 1)), ("b", "y " * 9000, datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "chunk_id string, content string, loaded_at timestamp")
+    assert values(pieces.oversized(df)) == [("b",)]
+    assert values(pieces.reassembled(df), "chunk_id", "n_chars", "within_limit", "within_overlap") == [("b", 18000, True, True)]
+
+
 def test_oversized(spark):
     t = datetime(2024, 1, 1)
     rows = [("a", "x " * 9000, t), ("a", "x " * 9000, t), ("b", "y" * 12000, t), ("c", None, t), ("d", "", t), (None, "z" * 13000, t), ("e", "ä😀" * 7000, t)]
