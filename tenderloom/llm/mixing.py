@@ -7,29 +7,34 @@ of documents of the source stay what they were: in a flight, the probabilities
 of three documents at a time are moved along the null space of the two
 constraints until one of them is 0 or 1. A flight over a block ends with at
 most two open documents; those of all blocks fly again, until one block per
-source is left, whose last two are landed by the rounding closest to the
-target. Blocks are of bounded size, so a source with most of the documents is
+source is left, whose last LANDING and two are landed by the rounding closest
+to the target. Blocks are of bounded size, so a source with most of the documents is
 many tasks.
 """
 
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderloom.runtime import Cut
+from tenderloom.runtime import Cut, ship
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The vocabulary file of a public tokenizer, unless named in the environment; the driver hands it to the workers.
+TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: How that vocabulary splits a text before merging; the published pattern of its tokenizer.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 BLOCK = 20_000
 EPSILON = 1e-9
+#: Documents of a source that the flight leaves to the landing, which tries every rounding of them.
+LANDING = 12
 #: Longest piece that is handed to the tokenizer at once; texts are cut before white space.
 PIECE = 100_000
 
@@ -55,7 +60,7 @@ def _pieces(text: str) -> Iterator[str]:
 
 def _counter(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = _encoding(path)
+        encoding = _encoding(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
         for b in batches:
             b["tokens"] = np.array([sum(len(encoding.encode_ordinary(p)) for p in _pieces(t)) if t else 0 for t in b["text"]], np.int64)
             yield b[["doc_id", "source", "tokens"]]
@@ -70,14 +75,17 @@ def tidy(source: str) -> Column:
 
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, tokens): the tidy source and the size of each document; a null or empty text has 0 tokens."""
+    ship(documents.sparkSession)
+    documents.sparkSession.sparkContext.addFile(tokenizer)
     return documents.select("doc_id", tidy("source").alias("source"), "text").mapInPandas(_counter(tokenizer), "doc_id long, source string, tokens long")
 
 
-def fly(p: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """The flight phase: ``p`` with all but at most two entries moved to 0 or 1, keeping sum(p) and sum(p * size)."""
+def fly(p: np.ndarray, size: np.ndarray, seed: int, keep: int = 0) -> np.ndarray:
+    """The flight phase: ``p`` with all but at most ``keep`` and two entries moved to 0 or 1, keeping sum(p) and sum(p * size)."""
     p = p.astype(float).copy()
     draws = iter(np.random.default_rng(seed).random(len(p) + 3).tolist())
-    waiting = iter(np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON)).tolist())
+    open_ = np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON)).tolist()
+    waiting = iter(open_[: max(0, len(open_) - keep)])
     live: list[int] = []
     while True:
         while len(live) < 3 and (i := next(waiting, None)) is not None:
@@ -106,14 +114,11 @@ def fly(p: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The landing phase: the rounding of the last open entries that changes sum(p * size) least, then sum(p)."""
     open_ = np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON))
-    best = None
-    for mask in range(1 << len(open_)):
-        x = np.array([(mask >> i) & 1 for i in range(len(open_))], float)
-        off = (abs(float(((x - p[open_]) * size[open_]).sum())), abs(float((x - p[open_]).sum())), mask)
-        if best is None or off < best[0]:
-            best = (off, x)
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    off = ways - p[open_]
+    best = np.lexsort((np.abs(off.sum(axis=1)), np.abs(off @ size[open_])))[0]
     out = p.copy()
-    out[open_] = best[1]
+    out[open_] = ways[best]
     return np.round(out)
 
 
@@ -121,7 +126,7 @@ def _flight(landing: bool, seed: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["turn", "doc_id"], ignore_index=True)
         p, size = rows["p"].to_numpy(), rows["tokens"].to_numpy(float)
-        moved = fly(p, size, seed + int(rows["block"].iloc[0]))
+        moved = fly(p, size, seed + int(rows["block"].iloc[0]), LANDING if landing else 0)
         rows["p"] = land(moved, size) if landing else moved
         return rows[["doc_id", "source", "tokens", "turn", "p"]]
 
@@ -152,13 +157,14 @@ def mixture(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER
     """(doc_id, source, tokens, copies): the documents of the mixture and how often each is used, at most ``max_repeats``.
 
     Documents with a null id or source, or of a source without a target, are
-    left out; an empty text weighs nothing and follows its source. Repeated
-    rows of a ``doc_id`` count once. The draw is fixed by ``seed`` and the ids,
+    left out; an empty text weighs nothing and follows its source. Of repeated
+    rows of a ``doc_id`` the one with most tokens counts, of equal ones that of
+    the greatest source; texts are never shuffled. The draw is fixed by ``seed`` and the ids,
     whatever the partitioning.
     """
     spark = documents.sparkSession
-    once = documents.filter("doc_id is not null and source is not null").groupBy("doc_id").agg(F.max(F.struct("text", "source")).alias("r")).select("doc_id", "r.*") if _repeats(documents) else documents.filter("doc_id is not null and source is not null")
-    counts = Cut(token_counts(once, tokenizer), "tokens").df
+    counted = token_counts(documents.filter("doc_id is not null and source is not null"), tokenizer)
+    counts = Cut(counted.groupBy("doc_id").agg(F.max(F.struct("tokens", "source")).alias("r")).select("doc_id", "r.source", "r.tokens"), "tokens").df
     rows = plan(counts, targets)
     due = spark.createDataFrame([(r["source"], float(r["due"])) for r in rows if r["due"] > 0], "source string, due double")
     whole = F.floor(F.col("due") + EPSILON)
@@ -185,11 +191,6 @@ def mixture(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER
     return drawn.select("doc_id", "source", "tokens", copies.cast("int").alias("copies")).filter("copies > 0")
 
 
-def _repeats(documents: DataFrame) -> bool:
-    """Whether some ``doc_id`` has more than one row."""
-    return not documents.groupBy("doc_id").count().filter("doc_id is not null and count > 1").isEmpty()
-
-
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, reached_share, tokens, documents, most_copies) for each source of ``targets`` or the mixture."""
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("documents"), F.max("copies").alias("most_copies"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenderloom.runtime import table
 
@@ -94,7 +95,17 @@ def p8_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return p7_fused(spark, d).select("source_file", "item_number", "description_id", "confidence_id", "priority_id")
+    from tenderloom.llm.fusion import fused
+
+    return fused(table(spark, d, "requirements"), fields=()).select("source_file", "item_number", "description_id", "confidence_id", "priority_id")
+
+
+def p7_first_rates(spark: SparkSession, d: str) -> DataFrame:
+    """The sources' rates after one round, in which a value is true by its share of statements."""
+    from tenderloom.llm.fusion import infer_truth, position_facts
+
+    rates = infer_truth(position_facts(table(spark, d, "requirements")), 1)[1]
+    return rates.select("field", "source", F.round("sensitivity", 9).alias("sensitivity"), F.round("specificity", 9).alias("specificity"))
 
 
 def p7_fused(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +126,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p9_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p3_reassembled, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p8_leaks, p8_longest, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_pieces, p3_reassembled, p5_found, p5_classes, p6_found, p6_canonical, p8_found, p7_found, p7_fused, p7_first_rates, p8_leaks, p8_longest, p8_coverage, p9_mixture, p9_shares, p10_found, p10_paragraph_clusters)}
 
 _REQUIREMENTS = """requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1)"""
 _CHUNKS = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1)"""
@@ -190,6 +201,12 @@ select chunk_id, canonical as form, n as n_forms from f left join g using (form)
         "p7_found": rf"""with {_REQUIREMENTS}, v as (select *, regexp_replace(item_number, '^\s+|\s+$', '', 'g') as item, length(regexp_replace(description_en, '^\s+|\s+$', '', 'g')) as n from requirements1 where item_number is not null)
 select source_file, item as item_number, arg_max(id, (n, updated_at, id)) filter (where n > 0) as description_id, arg_max(id, (updated_at, id)) filter (where confidence is not null) as confidence_id,
 arg_max(id, (case confidence when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end, updated_at, id)) filter (where priority is not null) as priority_id from v group by 1, 2 having count(*) > 1""",
+        "p7_first_rates": rf"""with {_REQUIREMENTS}, r as (select coalesce('=' || source_file, '') as tender, regexp_replace(item_number, '^\s+|\s+$', '', 'g') as item, coalesce(merge_record.rule, '?') || '/' || coalesce(source_language, '?') as origin, standards, referenced_annexes, id from requirements1 where item_number is not null),
+m as (select * from r join (select tender, item from r group by 1, 2 having count(*) > 1) using (tender, item)), f as (select tender, item, origin, id, 'standards' as field, standards as vals from m where standards is not null union all select tender, item, origin, id, 'referenced_annexes', referenced_annexes from m where referenced_annexes is not null),
+heard as (select tender, item, field, origin, count(*) as members from f group by 1, 2, 3, 4), said as (select tender, item, field, origin, value, count(distinct id) as pos from (select * exclude (vals), trim(unnest(vals)) as value from f) where value <> '' group by 1, 2, 3, 4, 5),
+grid as (select v.tender, v.item, v.field, v.value, h.origin, coalesce(s.pos, 0) as pos, h.members - coalesce(s.pos, 0) as neg from (select distinct tender, item, field, value from said) v join heard h using (tender, item, field) left join said s on s.tender = v.tender and s.item = v.item and s.field = v.field and s.value = v.value and s.origin = h.origin),
+g as (select *, sum(pos) over w / sum(pos + neg) over w as p from grid window w as (partition by tender, item, field, value))
+select field, origin as source, round((sum(p * pos) + 4) / (sum(p * (pos + neg)) + 6), 9) as sensitivity, round(1 - (sum((1 - p) * pos) + 1) / (sum((1 - p) * (pos + neg)) + 10), 9) as specificity from g group by 1, 2""",
         "p8_longest": f"""with d as (select doc_id, {words.format(x="text")} as w from documents), i as (select item_id, {words.format(x="text")} as w from benchmark),
 g as (select item_id, k, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)), h as (select doc_id, k, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12)),
 m as (select doc_id, item_id, h.k - g.k as diagonal, h.k - row_number() over (partition by doc_id, item_id, h.k - g.k order by h.k) as island from h join g using (run)), r as (select doc_id, item_id, count(*) + 11 as n from m group by doc_id, item_id, diagonal, island)

@@ -299,6 +299,23 @@ def test_fusion_of_values(spark):
     assert q["good"][0] > 0.88 and q["good"][1] > 0.93 and q["poor"][0] < 0.55
 
 
+def test_fusion_beats_the_majority(spark):
+    """Few reliable statements against many unreliable ones: the model keeps what the reliable source says."""
+    rng = random.Random(21)
+    quality, rows, truth = {"sure": (0.95, 0.97), "wild": (0.5, 0.55)}, [], {}
+    for g in range(200):
+        true = {f"v{v}" for v in range(5) if rng.random() < 0.5}
+        truth |= {(f"g{g}", f"v{v}"): f"v{v}" in true for v in range(5)}
+        for source, n in (("sure", 1), ("wild", 4)):
+            rows += [(f"g{g}", source, [f"v{v}" for v in range(5) if rng.random() < (quality[source][0] if f"v{v}" in true else 1 - quality[source][1])]) for _ in range(n)]
+    facts = fusion.evidence(spark.createDataFrame(rows, "g string, s string, vals array<string>"), ["g"], ("vals",), "s")
+    judged, _ = fusion.infer_truth(facts)
+    got = values(facts.join(judged, ["field", "pattern"]), "g", "value", "p_true", "pattern")
+    right = sum((p >= 0.5) == truth[g, v] for g, v, p, _ in got) / len(got)
+    majority = sum((2 * sum(c["pos"] for c in x) >= sum(c["pos"] + c["neg"] for c in x)) == truth[g, v] for g, v, _, x in got) / len(got)
+    assert right > 0.9 and right > majority + 0.15
+
+
 def test_best_members(spark):
     t = [datetime(2024, 1, d) for d in range(1, 9)]
     row = lambda i, item, text, conf, prio, d, std=None, file="f": (i, file, item, text, conf, prio, t[d], std, [], ("standalone",), "de")
@@ -413,6 +430,24 @@ def test_mixture(spark):
     assert mixing.shares(mixed.limit(0), targets).filter("tokens = 0").count() == 3
 
 
+def test_mixture_of_the_test_tables_meets_its_targets(spark):
+    """On the documents and targets of the test data: shares within one document of the target, repeats within their limit."""
+    d = "/root/testdata/sf0.01"
+    targets = spark.read.parquet(f"{d}/mix_targets.parquet")
+    documents = spark.read.parquet(f"{d}/documents.parquet")
+    mixed = mixing.mixture(documents, targets).cache()
+    limits = {r["source"]: r["max_repeats"] for r in targets.collect()}
+    due = {r["source"]: r for r in mixing.plan(mixing.token_counts(documents, mixing.TOKENIZER), targets)}
+    largest = dict(values(mixed.groupBy("source").agg(F.max("tokens"))))
+    for r in mixing.shares(mixed, targets).collect():
+        want = due[r["source"]]
+        assert r["most_copies"] <= limits[r["source"]]
+        assert abs(r["tokens"] - want["due"] * (want["tokens"] or 0)) <= largest.get(r["source"], 0)
+        total = sum(x["share"] for x in due.values() if x["due"])
+        if want["due"]:
+            assert abs(r["reached_share"] - r["target_share"] / total) < 0.002
+
+
 # Shared spans.
 def brute_shared(rows, span):
     where = {}
