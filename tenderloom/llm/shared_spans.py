@@ -6,13 +6,20 @@ banded, with bands tuned for the similarity and recall that are asked for;
 paragraphs of different records that share a band key collide. A verbatim
 stretch of SPAN characters always contains a whole paragraph, and equal
 paragraphs collide in every band, so the SPAN-long windows that hold a
-colliding paragraph, and none that would have to collide but doesn't, are all that an exact check has to compare: each of them gets a
-128-bit rolling hash, and those found in two records are shared.
-Groups are only ever reduced to their least and greatest record, so a passage
-in a third of all records needs no pairs.
+colliding paragraph, and none that would have to collide but doesn't, are all
+that an exact check has to compare. They are compared in groups: windows with
+the same least gram at their beginning, a place that equal windows agree on,
+are one row with a hash of the piece all of them hold and a hash of the whole
+stretch they cover. Where every stretch with a piece is in two records, all its
+windows are shared; only where one isn't, at the ends of what is shared, the
+windows are compared one by one by 128-bit hashes. Groups are only ever reduced
+to their least and greatest record, so a passage in a third of all records needs
+no pairs.
 
 For near-duplicate paragraphs, colliding ones are verified by their exact
-Jaccard similarity and clustered by connected components.
+Jaccard similarity and clustered by connected components: first with one centre
+of each band, so most are connected before those that are still apart are
+paired.
 """
 
 from __future__ import annotations
@@ -24,17 +31,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.llm.components import star_components
-from tenderloom.runtime import Cut
+from tenderloom.runtime import Cut, ship
 
 SPAN = 450
 SHINGLE = 5
-#: A paragraph ends after a sentence or at a blank line; one longer than LONG is cut at winnowed places.
+#: A paragraph ends after a sentence or at a blank line; one longer than LONG is cut at winnowed places. White space between them that is longer than GAP is one, too.
 END = re.compile(r"(?<=[.!?])\s+|\n\s*\n")
-LONG, GRAM, WINDOW = 200, 12, 32
+LONG, GAP, GRAM, WINDOW = 200, 8, 12, 32
 U64 = np.uint64
 
 
@@ -55,41 +62,57 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return z ^ (z >> U64(31))
 
 
-def winnowed(text: str) -> list[int]:
-    """Places of the least GRAM-character hash of every WINDOW in a row, the last of equals. At most WINDOW apart; each depends on its surroundings only."""
+def _gram_hashes(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
     n = len(codes) - GRAM + 1
     if n < 1:
-        return []
+        return np.zeros(0, U64)
     with np.errstate(over="ignore"):
         h = np.zeros(n, U64)
         for i in range(GRAM):
             h = h * U64(0x9E3779B97F4A7C15) + codes[i : i + n]
-    h = _mix(h)
-    if n <= WINDOW:
-        return [n - 1 - int(np.argmin(h[::-1]))]
-    rows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)[:, ::-1]
-    return np.unique(np.arange(len(rows)) + WINDOW - 1 - rows.argmin(axis=1)).tolist()
+    return _mix(h)
+
+
+def _least(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each place in ``at`` that of the least of WINDOW hashes from it on, the last of equals."""
+    rows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)[at, ::-1]
+    return at + WINDOW - 1 - rows.argmin(axis=1)
+
+
+def winnowed(text: str) -> list[int]:
+    """Places of the least GRAM-character hash of every WINDOW in a row, the last of equals. At most WINDOW apart; each depends on its surroundings only."""
+    h = _gram_hashes(text)
+    if len(h) <= WINDOW:
+        return [len(h) - 1 - int(np.argmin(h[::-1]))] if len(h) else []
+    return np.unique(_least(h, np.arange(len(h) - WINDOW + 1))).tolist()
 
 
 def paragraphs(text: str) -> list[tuple[int, int, int, int]]:
     """(begin, end, from, to) of the paragraphs of a text.
 
     Any SPAN characters that two texts share contain a whole paragraph, at the
-    same place of both. A text that shares the characters ``from`` to ``to``
+    same place of both: parts of two paragraphs of at most LONG and a gap of at
+    most GAP are fewer. A text that shares the characters ``from`` to ``to``
     has this paragraph, too; both are -1 for one that depends on more than
-    those: the first, the last and parts of a long one.
+    those: the first, the last, parts of a long one and white space.
     """
     spans, at, seen = [], 0, -1
+
+    def parts(begin: int, end: int) -> None:
+        cuts = [begin, *(begin + p for p in winnowed(text[begin:end]) if p), end] if end - begin > LONG else [begin, end]
+        spans.extend((a, b, -1, -1) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
     for m in [*END.finditer(text), None]:
         to = m.start() if m else len(text)
         if to > at:
-            if to - at <= LONG:
-                spans.append((at, to, seen, m.end()) if m and seen >= 0 else (at, to, -1, -1))
+            if to - at <= LONG and m and seen >= 0:
+                spans.append((at, to, seen, m.end()))
             else:
-                cuts = [at, *(at + p for p in winnowed(text[at:to]) if p), to]
-                spans.extend((a, b, -1, -1) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+                parts(at, to)
         if m:
+            if m.end() - m.start() > GAP:
+                parts(m.start(), m.end())
             at, seen = m.end(), m.start() - 1
     return spans
 
@@ -164,41 +187,81 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         return power(base), power(pow(base, -1, 1 << 64))
 
 
-def window_hashes(text: str, span: int) -> list[np.ndarray]:
-    """Two 64-bit hashes of every window of ``span`` characters."""
+def prefix_hashes(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two polynomial hashes, modulo 2^64, of every beginning of a text, each with the powers to shift them by."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
-    n = len(codes) - span + 1
     out = []
     with np.errstate(over="ignore"):
         for i, base in enumerate(_BASES):
-            size = 1 << max(12, int(len(codes)).bit_length())
-            up, down = _powers(base, size)
-            run = np.concatenate([np.zeros(1, U64), np.cumsum(_mix(codes + U64(i * 7919 + 1)) * up[: len(codes)], dtype=U64)])
-            out.append(_mix((run[span:] - run[:-span]) * down[:n]))
+            up, down = _powers(base, 1 << max(12, int(len(codes)).bit_length()))
+            out.append((np.concatenate([np.zeros(1, U64), np.cumsum(_mix(codes + U64(i * 7919 + 1)) * up[: len(codes)], dtype=U64)]), down))
     return out
 
 
+def stretch_hash(prefix: list[tuple[np.ndarray, np.ndarray]], no: int, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """Hash ``no`` of the characters from each ``start`` on, with their number."""
+    run, down = prefix[no]
+    with np.errstate(over="ignore"):
+        return _mix((run[start + length] - run[start]) * down[start] + U64(0xD6E8FEB86659FD93) * np.asarray(length, U64))
+
+
+def _candidates(text: str, near: set[int], span: int) -> np.ndarray:
+    """Where the windows begin that hold a colliding paragraph and none that would have to collide but doesn't."""
+    n = len(text) - span + 1
+    hit, miss = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    for begin, end, first, last in paragraphs(text):
+        edge = hit
+        if begin not in near:
+            if first < 0:
+                continue
+            edge, begin, end = miss, first, last
+        a, b = max(0, end - span), min(n - 1, begin)  # where the windows that hold it begin
+        if a <= b:
+            edge[a] += 1
+            edge[b + 1] -= 1
+    return np.flatnonzero((np.cumsum(hit[:-1]) > 0) & (np.cumsum(miss[:-1]) == 0))
+
+
+STRETCHES = "doc_id long, first int, last int, piece long, g1 long, g2 long"
+
+
+def _stretches(span: int):
+    """Rows of neighbouring windows with one least gram: the first and last of them, a hash of the piece they all hold and two of all they cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for d, t, begins in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "begins")), strict=True):
+                at = _candidates(t, set(begins), span)
+                if not len(at):
+                    continue
+                least = _least(_gram_hashes(t), at)
+                fresh = np.r_[True, (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)]
+                first, last, place = at[fresh], at[np.r_[fresh[1:], True]], least[fresh]
+                # A hash of each length in turn, of the few that occur.
+                prefix = prefix_hashes(t)
+                columns = (np.full(len(first), d, np.int64), first.astype(np.int32), last.astype(np.int32), stretch_hash(prefix, 0, place, span - WINDOW + 1).view(np.int64), *(stretch_hash(prefix, i, first, last - first + span).view(np.int64) for i in (0, 1)))
+                for x, y in zip(out, columns, strict=True):
+                    x.append(y)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=[c.split()[0] for c in STRETCHES.split(", ")])
+
+    return run
+
+
 def _windows(span: int):
+    """The windows of some stretches, each with two hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], []]
             for d, t, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
-                n = len(t) - span + 1
-                near = {s["begin"] for s in spans}
-                hit, miss = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
-                for begin, end, first, last in paragraphs(t):
-                    edge = hit
-                    if begin not in near:
-                        if first < 0:
-                            continue
-                        edge, begin, end = miss, first, last
-                    a, b = max(0, end - span), min(n - 1, begin)  # where the windows that hold it begin
-                    if a <= b:
-                        edge[a] += 1
-                        edge[b + 1] -= 1
-                at = np.flatnonzero((np.cumsum(hit[:-1]) > 0) & (np.cumsum(miss[:-1]) == 0))
-                if len(at):
-                    h1, h2 = window_hashes(t, span)
-                    yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(np.full(len(at), d, np.int64)), pa.array(at.astype(np.int32))], names=["h1", "h2", "doc_id", "at"])
+                at = np.concatenate([np.arange(x["first"], x["last"] + 1) for x in spans])
+                prefix = prefix_hashes(t)
+                for x, y in zip(out, (*(stretch_hash(prefix, i, at, span).view(np.int64) for i in (0, 1)), np.full(len(at), d, np.int64), at.astype(np.int32)), strict=True):
+                    x.append(y)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["h1", "h2", "doc_id", "at"])
 
     return run
 
@@ -218,16 +281,29 @@ def shared_chars(documents: DataFrame, span: int = SPAN) -> DataFrame:
     """
     if span < SPAN:
         raise ValueError(f"paragraphs are cut for spans from {SPAN} characters on")
+    ship(documents.sparkSession)
     bands, rows = tune_bands(1.0, 0.99)
     docs = documents.filter(F.col("doc_id").isNotNull() & (F.length("text") >= span)).select("doc_id", "text")
     keyed = Cut(docs.mapInArrow(_key_rows(bands, rows), "doc_id long, begin int, end int, band long"), "paragraphs")
-    near = keyed.df.join(_in_two(keyed.df, ["band"]), "band").groupBy("doc_id").agg(F.collect_set(F.struct("begin")).alias("spans"))
-    texts = docs.join(near, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("spans").alias("spans"))
-    windows = Cut(texts.mapInArrow(_windows(span), "h1 long, h2 long, doc_id long, at int"), "windows")
+    near = keyed.df.join(_in_two(keyed.df, ["band"]), "band").groupBy("doc_id").agg(F.collect_set("begin").alias("begins"))
+    texts = docs.join(near, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("begins").alias("begins"))
+    found = Cut(texts.mapInArrow(_stretches(span), STRETCHES), "stretches").df
     keyed.drop()
-    hit = windows.df.join(_in_two(windows.df, ["h1", "h2"]), ["h1", "h2"]).select("doc_id", "at")
-    before = F.lag("at").over(Window.partitionBy("doc_id").orderBy("at"))
-    return hit.withColumn("new", F.coalesce(F.least(F.lit(span), F.col("at") - before), F.lit(span))).groupBy("doc_id").agg(F.sum("new").cast("bigint").alias("shared_chars"))
+    least, greatest = F.min("doc_id"), F.max("doc_id")
+    whole = found.groupBy("piece", "g1", "g2").agg(least.alias("a"), greatest.alias("b"))
+    pieces = whole.groupBy("piece").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.bool_or(F.col("a") == F.col("b")).alias("torn")).filter("a <> b")
+    met = Cut(found.join(pieces.select("piece", "torn"), "piece").select("doc_id", "first", "last", "torn"), "met").df
+    torn = met.filter("torn").groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    cut = docs.join(torn, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("spans").alias("spans"))
+    windows = Cut(cut.mapInArrow(_windows(span), "h1 long, h2 long, doc_id long, at int"), "windows").df
+    hit = windows.join(_in_two(windows, ["h1", "h2"]), ["h1", "h2"]).select("doc_id", F.col("at").alias("first"), F.col("at").alias("last"))
+    ranges = met.filter("not torn").select("doc_id", "first", "last").unionByName(hit)
+    # What each range adds beyond those that begin before it.
+    step = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("first", "last"))), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto")),
+        lambda x, r: F.struct((x["n"] + F.greatest(F.lit(0), r["last"] + span - F.greatest(r["first"], x["upto"]))).alias("n"), F.greatest(x["upto"], r["last"] + span).alias("upto")), lambda x: x["n"],
+    )
+    return ranges.groupBy("doc_id").agg(step.alias("shared_chars"))
 
 
 def _shingle_rows(bands: int, rows: int):

@@ -484,6 +484,14 @@ def test_shared_chars_against_brute_force(spark, kind):
     assert dict(values(shared_spans.shared_chars(df))) == brute_shared(rows, 450)
 
 
+def test_shared_chars_across_a_gap(spark):
+    """A stretch of two parts of sentences with much white space between them holds no sentence as a whole."""
+    a, b = "a b c d e f g h i " * 10, "k l m n o p q r s " * 10
+    one, two = "one " + a + "x." + " " * 80 + b + "end.", "another " + a + "x." + " " * 80 + b + "finish."
+    texts = [(1, "First here. " + one), (2, "Second there. " + two), (3, "\n" * 700), (4, "z" + "\n" * 600)]
+    assert dict(values(shared_spans.shared_chars(spark.createDataFrame(texts, "doc_id long, text string")))) == brute_shared(texts, 450)
+
+
 def test_shared_chars_edges(spark):
     df = spark.createDataFrame([(1, "ä😀" * 300), (2, "x" + "ä😀" * 300), (3, "y" * 449), (4, "y" * 449)], "doc_id long, text string")
     assert dict(values(shared_spans.shared_chars(df))) == {1: 600, 2: 600}
