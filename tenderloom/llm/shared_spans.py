@@ -319,9 +319,12 @@ def _shingle_rows(bands: int, rows: int):
             kept, where = grams[order][fresh], row[order][fresh]
             new = np.searchsorted(where, np.arange(n + 1)).astype(np.int32)
             keys = band_keys(off, grams, bands, rows)
+            bit = _mix(kept * U64(0x9E3779B97F4A7C15)) & U64(127)
+            one = U64(1) << (bit & U64(63))
+            sketch = [np.bitwise_xor.reduceat(np.where((bit < U64(64)) == low, one, U64(0)), new[:-1]).view(np.int64) for low in (True, False)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("pid"), pa.ListArray.from_arrays(pa.array(new), pa.array(kept.view(np.int64))), pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * bands).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))],
-                names=["pid", "grams", "bands"],
+                [batch.column("pid"), pa.array(np.diff(new)), *map(pa.array, sketch), pa.ListArray.from_arrays(pa.array(new), pa.array(kept.view(np.int64))), pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * bands).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))],
+                names=["pid", "size", "s0", "s1", "grams", "bands"],
             )
 
     return run
@@ -342,36 +345,80 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(t)], names=["doc_id", "begin", "text"])
 
 
+#: Pairs of a band that are still apart, for each of its rows on average, above which another centre is tried before they are paired.
+APART, CENTRES = 8, 12
+
+
+def _verified(met: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) of ``met`` whose shingles have that Jaccard similarity."""
+    side = lambda s: made.select(F.col("pid").alias(s), F.col("grams").alias(f"{s}_grams"))
+    both = F.size(F.array_intersect("u_grams", "v_grams"))
+    return met.join(side("u"), "u").join(side("v"), "v").filter(both >= similarity * (F.size("u_grams") + F.size("v_grams") - both)).select("u", "v")
+
+
+def _links(made: DataFrame, similarity: float) -> DataFrame | None:
+    """Verified pairs that connect what all pairs with a common band key would connect.
+
+    A band's rows are first compared with one of them, its centre, and those of
+    one component with it need no pairs among themselves. Only pairs of
+    different components are left; while they are many, another centre is
+    tried. All that are left then are compared, so none is lost.
+    """
+    columns = ("pid", "size", "s0", "s1")
+    keys = made.select(*columns, F.explode("bands").alias("band"), F.col("pid").alias("root"))
+    links: DataFrame | None = None
+    fits = (F.least("u_size", "v_size") >= similarity * F.greatest("u_size", "v_size")) & (
+        F.bit_count(F.col("u_s0").bitwiseXOR(F.col("v_s0"))) + F.bit_count(F.col("u_s1").bitwiseXOR(F.col("v_s1"))) <= (1 - similarity) / (1 + similarity) * (F.col("u_size") + F.col("v_size")) + 1e-9
+    )
+    for turn in range(CENTRES + 1):
+        # Only bands that still hold two components matter; the centre of each is another one in every turn.
+        centre = keys.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "pid"), "root", *columns)).alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        apart = Cut(keys.join(centre.select("band", "c"), "band"), "apart").df
+        held = apart.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+        got = held.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs")).first()
+        if not got["rows"]:
+            break
+        last = turn == CENTRES or got["pairs"] <= APART * got["rows"]
+        if last:
+            u, v = (apart.select("band", *[F.col(c).alias(f"{x}_{c}") for c in (*columns, "root")]) for x in "uv")
+            met = u.join(v, "band").filter(F.col("u_pid") < F.col("v_pid"))
+        else:
+            met = apart.select(*[F.col(c).alias(f"u_{c}") for c in (*columns, "root")], *[F.col(f"c.{c}").alias(f"v_{c}") for c in (*columns, "root")])
+        met = met.filter(F.col("u_root") != F.col("v_root")).filter(fits).select(F.least("u_pid", "v_pid").alias("u"), F.greatest("u_pid", "v_pid").alias("v")).distinct()
+        more = Cut(_verified(met, made, similarity), "links").df
+        links = more if links is None else links.unionByName(more)
+        if last:
+            break
+        roots = star_components(links).select(F.col("node").alias("pid"), F.col("root").alias("_root"))
+        keys = Cut(apart.drop("c").join(roots, "pid", "left").withColumn("root", F.coalesce("_root", "pid")).drop("_root"), "keys").df
+    return links
+
+
 def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: float = 0.95) -> DataFrame:
-    """(doc_id, begin, cluster_doc, cluster_begin, links, removed): one row per paragraph that repeats another, exactly or nearly.
-
-    Paragraphs with at least SHINGLE words whose five-word shingles have a Jaccard
-    similarity of ``similarity`` are linked, shorter ones only repeat equal ones; a cluster is what links connect,
-    named by its first paragraph, which stays while the others are
-    ``removed``. Equal paragraphs are one node, so copies are never paired;
-    ``links`` counts the different texts that a paragraph is linked to.
-    Candidates are the pairs of different texts with a common band key, banded
-    to find ``recall`` of the pairs just at the threshold, and all of them are
-    verified. Null ids and texts give nothing.
+    """(doc_id, begin, cluster_doc, cluster_begin, members, removed): one row per paragraph that repeats another, exactly or nearly.
+
+    Paragraphs with at least SHINGLE words are linked if their five-word
+    shingles have a Jaccard similarity of ``similarity``, shorter ones only to
+    equal ones. A cluster is what links connect, named by its first paragraph,
+    which stays while the others are ``removed``; ``members`` is the number of
+    its paragraphs. Equal paragraphs are one node, so copies are never paired.
+    Candidates are pairs of different texts with a common band key, banded to
+    find ``recall`` of the pairs just at the threshold; pairs that can't change
+    a cluster any more are not compared. Null ids and texts give nothing; of
+    paragraphs at one place of a repeated id one counts.
     """
+    ship(documents.sparkSession)
     bands, rows = tune_bands(similarity, recall)
     docs = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
     pieces = docs.mapInArrow(_paragraph_rows, "doc_id long, begin int, text string")
-    placed = Cut(pieces.select("doc_id", "begin", "text", F.md5("text").alias("digest")).dropDuplicates(["doc_id", "begin"]), "pieces").df
+    placed = Cut(pieces.select("doc_id", "begin", "text", F.md5("text").alias("digest")).groupBy("doc_id", "begin").agg(F.max(F.struct("digest", "text")).alias("r")).select("doc_id", "begin", "r.*"), "pieces").df
     once = placed.groupBy("digest").agg(F.min("text").alias("text"), F.min(F.struct("doc_id", "begin")).alias("first"), F.count("*").alias("copies"))
     texts = Cut(once.select(F.monotonically_increasing_id().alias("pid"), "*"), "texts").df
     long = texts.select("pid", "text").filter(F.size(F.split(F.trim("text"), r"(?U)\s+")) >= SHINGLE)
-    made = Cut(long.mapInArrow(_shingle_rows(bands, rows), "pid long, grams array<long>, bands array<long>"), "grams").df
-    keys = made.select("pid", F.explode("bands").alias("band"))
-    a, b = keys.select(F.col("pid").alias("u"), "band"), keys.select(F.col("pid").alias("v"), "band")
-    met = a.join(b, "band").filter("u < v").select("u", "v").distinct()
-    side = lambda s: made.select(F.col("pid").alias(s), F.col("grams").alias(f"{s}_grams"))
-    both = F.size(F.array_intersect("u_grams", "v_grams"))
-    links = Cut(met.join(side("u"), "u").join(side("v"), "v").filter(both >= similarity * (F.size("u_grams") + F.size("v_grams") - both)).select("u", "v"), "links").df
-    roots = star_components(links)
-    degree = links.select("u").unionByName(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("links"))
-    named = texts.select("pid", "digest", "first", "copies").join(roots, texts["pid"] == roots["node"], "left").join(degree, texts["pid"] == degree["u"], "left")
-    named = named.select("digest", "first", "copies", F.coalesce("root", "pid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    heads = named.groupBy("root").agg(F.min("first").alias("head"), F.sum("copies").alias("n")).filter("n > 1")
-    rows_ = placed.select("doc_id", "begin", "digest").join(named.select("digest", "root", "links").join(heads, "root"), "digest")
-    return rows_.select("doc_id", "begin", F.col("head.doc_id").alias("cluster_doc"), F.col("head.begin").alias("cluster_begin"), "links", (F.struct("doc_id", "begin") != F.col("head")).alias("removed"))
+    made = Cut(long.mapInArrow(_shingle_rows(bands, rows), "pid long, size int, s0 long, s1 long, grams array<long>, bands array<long>"), "grams").df
+    links = _links(made, similarity)
+    roots = star_components(links) if links is not None else texts.select(F.col("pid").alias("node"), F.col("pid").alias("root")).limit(0)
+    named = texts.select("pid", "digest", "first", "copies").join(roots, texts["pid"] == roots["node"], "left").select("digest", "first", "copies", F.coalesce("root", "pid").alias("root"))
+    heads = named.groupBy("root").agg(F.min("first").alias("head"), F.sum("copies").alias("members")).filter("members > 1")
+    rows_ = placed.select("doc_id", "begin", "digest").join(named.select("digest", "root").join(heads, "root"), "digest")
+    return rows_.select("doc_id", "begin", F.col("head.doc_id").alias("cluster_doc"), F.col("head.begin").alias("cluster_begin"), "members", (F.struct("doc_id", "begin") != F.col("head")).alias("removed"))

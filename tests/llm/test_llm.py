@@ -511,13 +511,61 @@ def test_paragraph_clusters(spark):
     base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) + "." for _ in range(20)]
     near = [b.replace(b.split()[4], "changed") for b in base[:8]]
     df = spark.createDataFrame([(1, " ".join(base[:10])), (2, " ".join(base[5:15])), (3, " ".join(near)), (4, None), (5, "")], "doc_id long, text string")
-    got = values(shared_spans.paragraph_clusters(df, 0.6, 0.99), "doc_id", "cluster_doc", "cluster_begin", "removed", "links")
+    got = values(shared_spans.paragraph_clusters(df, 0.6, 0.99), "doc_id", "cluster_doc", "cluster_begin", "removed", "members")
     # Five paragraphs of document 1 are in 2 as well, and all eight of 3 resemble one of 1.
     assert len([g for g in got if not g[3]]) == 10 == len({g[1:3] for g in got})
     assert len([g for g in got if g[0] == 3 and g[3]]) == 8 and len([g for g in got if g[0] == 2 and g[3]]) == 5
     assert shared_spans.paragraph_clusters(df.limit(0)).count() == 0
 
 
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("apart", [8, 0])
+def test_recall_of_paragraph_clusters(spark, monkeypatch, apart):
+    """With the registered parameters, of planted pairs at a similarity of 0.8 or more at least 0.95 come together, none below do."""
+    monkeypatch.setattr(shared_spans, "APART", apart)  # 0: every centre is tried
+    monkeypatch.setattr(shared_spans, "CENTRES", 3)
+    rng = random.Random(31)
+    pairs = []
+    for _ in range(600):
+        a = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 90))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 3)):
+            b[rng.choice((0, len(b) - 1, rng.randrange(len(b))))] = f"x{rng.randrange(10**6)}"
+        pairs.append((" ".join(a), " ".join(b)))
+    rows = [(2 * i + s, p[s]) for i, p in enumerate(pairs) for s in (0, 1)]
+    got = {(r[0], r[1]) for r in values(shared_spans.paragraph_clusters(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "cluster_doc")}
+    near = [i for i, p in enumerate(pairs) if jaccard(*p) >= 0.8]
+    assert 100 < len(near) < 600
+    assert sum((2 * i + 1, 2 * i) in got for i in near) / len(near) >= 0.95
+    assert not any((2 * i + 1, 2 * i) in got for i in set(range(600)) - set(near))
+
+
+@pytest.mark.parametrize("apart", [8, 0])
+def test_clusters_of_a_hot_band(spark, monkeypatch, apart):
+    """Boilerplate with small edits: what all pairs connect is connected by centres, too."""
+    monkeypatch.setattr(shared_spans, "APART", apart)
+    monkeypatch.setattr(shared_spans, "CENTRES", 2)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(150):
+        t = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            t[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(t))
+    root = list(range(150))
+    for i in range(150):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    got = dict(values(shared_spans.paragraph_clusters(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 0.8, 0.9999), "doc_id", "cluster_doc"))
+    assert got == {i: r for i, r in enumerate(root) if root.count(r) > 1}
+
+
 def test_composed_signs_share_an_outline(spark):
     spelled = [("a \u2260 b", "a =\u0338 b"), ("c \u226e d", "c <\u0338 d"), ("e \u226f f", "e >\u0338 f"), ("g\u037e h", "g; h")]
     df = spark.createDataFrame([(f"{n}{s}", t) for n, pair in enumerate(spelled) for s, t in zip("xy", pair, strict=True)], "chunk_id string, content string").selectExpr("*", "timestamp'2024-01-01' as loaded_at")
