@@ -345,6 +345,8 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(t)], names=["doc_id", "begin", "text"])
 
 
+#: Hashes of a paragraph at most: few bands of few rows each are less to move, and sizes and sketches rule out what they let through.
+HASHES = 48
 #: Pairs of a band that are still apart, for each of its rows on average, above which another centre is tried before they are paired.
 APART, CENTRES = 8, 12
 
@@ -365,7 +367,9 @@ def _links(made: DataFrame, similarity: float) -> DataFrame | None:
     tried. All that are left then are compared, so none is lost.
     """
     columns = ("pid", "size", "s0", "s1")
-    keys = made.select(*columns, F.explode("bands").alias("band"), F.col("pid").alias("root"))
+    rows = made.select("pid", F.explode("bands").alias("band"))
+    common = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    keys = Cut(rows.join(common, "band").join(made.select(*columns), "pid").withColumn("root", F.col("pid")), "keys").df
     links: DataFrame | None = None
     fits = (F.least("u_size", "v_size") >= similarity * F.greatest("u_size", "v_size")) & (
         F.bit_count(F.col("u_s0").bitwiseXOR(F.col("v_s0"))) + F.bit_count(F.col("u_s1").bitwiseXOR(F.col("v_s1"))) <= (1 - similarity) / (1 + similarity) * (F.col("u_size") + F.col("v_size")) + 1e-9
@@ -408,7 +412,7 @@ def paragraph_clusters(documents: DataFrame, similarity: float = 0.8, recall: fl
     paragraphs at one place of a repeated id one counts.
     """
     ship(documents.sparkSession)
-    bands, rows = tune_bands(similarity, recall)
+    bands, rows = tune_bands(similarity, recall, HASHES)
     docs = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
     pieces = docs.mapInArrow(_paragraph_rows, "doc_id long, begin int, text string")
     placed = Cut(pieces.select("doc_id", "begin", "text", F.md5("text").alias("digest")).groupBy("doc_id", "begin").agg(F.max(F.struct("digest", "text")).alias("r")).select("doc_id", "begin", "r.*"), "pieces").df

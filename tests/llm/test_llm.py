@@ -501,8 +501,8 @@ def test_shared_chars_edges(spark):
 
 
 def test_bands():
-    for similarity, recall in ((1.0, 0.99), (0.8, 0.95), (0.9, 0.99)):
-        bands, rows = shared_spans.tune_bands(similarity, recall)
+    for similarity, recall, most in ((1.0, 0.99, 128), (0.8, 0.95, shared_spans.HASHES), (0.9, 0.99, 128)):
+        bands, rows = shared_spans.tune_bands(similarity, recall, most)
         assert 1 - (1 - similarity**rows) ** bands >= recall
 
 
@@ -562,7 +562,7 @@ def test_clusters_of_a_hot_band(spark, monkeypatch, apart):
         for j in range(i):
             if jaccard(texts[i], texts[j]) >= 0.8:
                 root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    got = dict(values(shared_spans.paragraph_clusters(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 0.8, 0.9999), "doc_id", "cluster_doc"))
+    got = dict(values(shared_spans.paragraph_clusters(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 0.8, 0.999), "doc_id", "cluster_doc"))
     assert got == {i: r for i, r in enumerate(root) if root.count(r) > 1}
 
 
