@@ -37,8 +37,9 @@ LEAST_RECORDS = 4
 LIFT, TRANSLATIONS = 4.0, 24
 #: Share of a sentence's weight that its partner must cover: of the better covered one in a match, and in a growing match.
 MATCH, GROW = 0.52, 0.62
-#: Share of the other one that must be covered even so, and words a sentence must have to be paired.
-LEAST_COVER, LEAST_WORDS = 0.2, 3
+#: Share of the other one that must be covered even so. A sentence of fewer words than LEAST_WORDS says too little to be matched
+#: by a part: there each of the two must cover WHOLE of the other.
+LEAST_COVER, LEAST_WORDS, WHOLE = 0.2, 3, 0.75
 
 #: A sentence of so many times the median weight may be several in one. Two that are, or one of them, match if this share of
 #: the other's beginning or end (SIDE to 1 - SIDE / 2 of its weight), or of all of it where it is simple, is covered.
@@ -70,7 +71,6 @@ class Tables:
     def __init__(self, forward: dict, backward: dict, weight_en: dict, weight_de: dict, unknown: float):
         self.forward, self.backward, self.weight_en, self.weight_de, self.unknown = forward, backward, weight_en, weight_de, unknown
         self.typical = (np.inf, np.inf)  # the median weight of a sentence of either language, once known
-        self.typical = (np.inf, np.inf)  # median weights of a sentence in either language
 
 
 def _em(rows: list[tuple[list[int], list[int]]], n_from: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -204,8 +204,9 @@ def _parts_in_common(en: list[list[str]], de: list[list[str]], both: np.ndarray,
     we, wd = [weigh(s, tables.weight_en) for s in en], [weigh(s, tables.weight_de) for s in de]
     long_en, long_de = ([w.sum() > JOINED * t for w in ws] for ws, t in zip((we, wd), tables.typical, strict=True))
     for i, j in zip(*np.nonzero(both >= 0.5), strict=True):
-        if (i, j) not in pairs and (long_en[i] or long_de[j]) and min(len(en[i]), len(de[j])) > LEAST_WORDS:
-            if _one_side(_word_cover(en[i], de[j], tables.forward), wd[j], long_de[j]) >= ENDS and _one_side(_word_cover(de[j], en[i], tables.backward), we[i], long_en[i]) >= ENDS:
+        if (i, j) not in pairs and (long_en[i] or long_de[j]):
+            ends = ENDS if min(len(en[i]), len(de[j])) > LEAST_WORDS else WHOLE
+            if _one_side(_word_cover(en[i], de[j], tables.forward), wd[j], long_de[j]) >= ends and _one_side(_word_cover(de[j], en[i], tables.backward), we[i], long_en[i]) >= ends:
                 yield int(i), int(j)
 
 
@@ -219,8 +220,8 @@ def align_bags(en: list[list[str]], de: list[list[str]], tables: Tables) -> list
     best_de, best_en = both.argmax(axis=1), both.argmax(axis=0)
     part = np.maximum(to_de, to_en)
     part[np.minimum(to_de, to_en) < LEAST_COVER] = 0
-    part[[len(s) < LEAST_WORDS for s in en], :] = 0
-    part[:, [len(s) < LEAST_WORDS for s in de]] = 0
+    short = np.array([len(s) < LEAST_WORDS for s in en])[:, None] | np.array([len(s) < LEAST_WORDS for s in de])[None, :]
+    part[short & (np.minimum(to_de, to_en) < WHOLE)] = 0
     pairs = {(i, int(j)) for i, j in enumerate(best_de) if best_en[j] == i and part[i, j] >= MATCH}
     used_en, used_de = {i for i, _ in pairs}, {j for _, j in pairs}
     grown = [(part[i, j], i, j) for i in range(len(en)) for j in range(len(de)) if (i in used_en) != (j in used_de) and part[i, j] >= GROW]

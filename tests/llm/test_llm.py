@@ -85,6 +85,14 @@ def test_alignment_on_held_out_records():
     assert hit / found > 0.95 and hit / true > 0.9
 
 
+def test_short_sentences_match_as_a_whole():
+    rng = random.Random(9)
+    tables = alignment.learn([bilingual(rng)[:2] for _ in range(500)])
+    en, de = ["din 4102", "steel", "pump roof steel glass"], ["stahl", "din 4102", "pumpe dach stahl glas"]
+    got = alignment.align_bags([s.split() for s in en], [s.split() for s in de], tables)
+    assert (0, 1) in got and (1, 0) in got and (2, 2) in got and len(got) == 3
+
+
 def test_sentences():
     assert alignment.sentences(" A 3.5 m. B?  C!\nrest ") == ["A 3.5 m.", "B?", "C!", "rest"]
     assert alignment.sentences(None) == alignment.sentences("  ") == []
