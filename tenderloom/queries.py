@@ -40,7 +40,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines with a font size: group headers and lines in capitals are set larger, lines of three digits or more at their end smaller."""
     rows = chunks(spark, d).select(F.col("source_file").alias("doc_id"), F.col("page_number").alias("page"), "seq", F.posexplode(F.split("content", "\n")).alias("pos", "text"))
     size = F.when(F.col("text").rlike("^[0-9]{2}[.][0-9]{2} [A-Z]"), 12.5).when(F.col("text").rlike("[0-9]{3}[.]?$"), 9.0).otherwise(10.0)
-    return rows.select("doc_id", "page", (F.col("seq").cast("long") * 100000 + F.col("pos")).alias("line_no"), "text", size.alias("font_size"))
+    return rows.select("doc_id", "page", ((F.col("seq").cast("long") * F.lit(1 << 31)) + F.col("pos")).alias("line_no"), "text", size.alias("font_size"))
 
 
 def pages(spark: SparkSession, d: str) -> DataFrame:
@@ -51,7 +51,7 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
 ONCE = """chunks1 as (select * from (select *, row_number() over (partition by chunk_id order by loaded_at desc) as rn_ from chunks where chunk_id is not null) where rn_ = 1),
 extractions1 as (select * from (select *, row_number() over (partition by unit_key order by loaded_at desc) as rn_ from extractions where unit_key is not null) where rn_ = 1),
 requirements1 as (select * from (select *, row_number() over (partition by id order by updated_at desc, loaded_at desc) as rn_ from requirements where id is not null) where rn_ = 1),
-lines1 as (select source_file as doc_id, page_number as page, seq::bigint * 100000 + pos - 1 as line_no, lines[pos] as text from (select *, unnest(range(1, len(lines) + 1)) as pos from (select source_file, page_number, seq, string_split(content, chr(10)) as lines from chunks1))),
+lines1 as (select source_file as doc_id, page_number as page, seq::bigint * 2147483648 + pos - 1 as line_no, lines[pos] as text from (select *, unnest(range(1, len(lines) + 1)) as pos from (select source_file, page_number, seq, string_split(content, chr(10)) as lines from chunks1))),
 pages1 as (select source_file as doc_id, page_number as page, string_agg(content, chr(10) order by seq, chunk_id) as text from chunks1 group by all)"""
 WS_SQL = r"\t\n\x0b\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 
@@ -193,38 +193,57 @@ def line_labels(spark: SparkSession, d: str) -> DataFrame:
     return segment.classified(kept).select("doc_id", "page", "line_no", "text", "label", "kind", F.col("code.region").alias("region"), F.col("code.lv_position").alias("lv_position"), F.col("code.category_code").alias("category_code"))
 
 
-@query(
-    rf""", {_KINDS}, {_REPEATED.replace('l as (' + _LINE + '), ', '').replace('n as', 'n2 as').replace('join n using', 'join n2 using').replace('k as (', 'k2 as (').replace('from k group', 'from k2 group').replace('0.02', '0.6')},
+_SEGMENTS = (
+    rf"""{_KINDS}, {_REPEATED.replace('l as (' + _LINE + '), ', '').replace('n as', 'n2 as').replace('join n using', 'join n2 using').replace('k as (', 'k2 as (').replace('from k group', 'from k2 group').replace('0.02', '0.6')},
 x as (select * from labelled where not exists (select 1 from rep where rep.doc_id = labelled.doc_id and rep.key = regexp_replace(labelled.text, '\d+', '#', 'g'))),
 w as (select *, sum((kind <> 'body')::int) over (partition by doc_id order by page, line_no) as segment, last_value(case when kind = 'heading' then text end ignore nulls) over (partition by doc_id order by page, line_no rows between unbounded preceding and current row) as h from x),
 g as (select doc_id, segment, arg_min(h, (page, line_no)) as h, bool_or(kind = 'item') as own, max(case when kind = 'item' then label end) as label, max(case when kind = 'item' then region end) as region, max(lv_position) as lv_position, max(category_code) as category_code,
-min(case when kind = 'body' then page end) as body_page, min(page) as first_page, string_agg(text, chr(10) order by page, line_no) filter (where kind <> 'heading') as body from w group by 1, 2)
-select doc_id, segment::bigint as segment, case when own then first_page else body_page end as page, coalesce(h, 'General Requirements') as heading, case when own then label else 'sec' end as label, coalesce(region, 'section') as region, lv_position, category_code,
-md5({trim_sql("case when own then body else coalesce(h, 'General Requirements') || chr(10) || body end")}) as digest from g where own or body_page is not null"""
+min(case when kind = 'body' then page end) as body_page, min(page) as first_page, string_agg(text, chr(10) order by page, line_no) filter (where kind <> 'heading') as body from w group by 1, 2),
+segs as (select doc_id, segment::bigint as segment, case when own then first_page else body_page end as page, coalesce(h, 'General Requirements') as heading, case when own then label else 'sec' end as label, coalesce(region, 'section') as region, lv_position, category_code,
+{trim_sql("case when own then body else coalesce(h, 'General Requirements') || chr(10) || body end")} as content from g where own or body_page is not null)"""
 )
+
+
+@query(f", {_SEGMENTS} select * exclude (content), md5(content) as digest from segs")
 def segments(spark: SparkSession, d: str) -> DataFrame:
     return segment.segments(lines(spark, d)).withColumn("digest", F.md5("content")).drop("content")
 
 
-@query()
-def chunk_rows(spark: SparkSession, d: str) -> DataFrame:
-    return segment.chunks(segment.segments(lines(spark, d))).withColumn("digest", F.md5("content")).drop("content")
+_LIVE = r"""not exists (select 1 from (select unnest(string_split(content, chr(10))) as x) where regexp_matches(trim(x),
+'(?i)^(?:[A-Za-z]{0,3}[\d.]{2,}\s+)?[\s"''.\-–—„“”]*(?:entf[äa]llt|not applicable|n/a|cancelled|voided|omitted|sans objet|supprim|soppress|annull|anulad)[\s"''.!\-–—„“”]*$'))"""
+#: A text over 3,000 tokens as parts: lines are added to the open part while it fits.
+_BUDGET = """case when ceil(length({x}) / 4) > 3000 then (with_open(list_reduce(list_transform(string_split({x}, chr(10)), lambda l: {{'parts': []::varchar[], 'open': l}}),
+lambda a, y: case when ceil(length(a.open || chr(10) || y.open) / 4) > 3000 then {{'parts': a.parts || [a.open], 'open': y.open}} else {{'parts': a.parts, 'open': a.open || chr(10) || y.open}} end))) else [{x}] end"""
+_BUDGET = _BUDGET.replace("with_open(", "list_transform([").replace("end))) else", "end)], lambda r: r.parts || [r.open]))[1] else")
 
 
 @query(
-    r"""select chunk_id from chunks1 where not exists (select 1 from (select unnest(string_split(content, chr(10))) as x) where regexp_matches(trim(x),
-'(?i)^(?:[A-Za-z]{0,3}[\d.]{2,}\s+)?[\s"''.\-–—„“”]*(?:entf[äa]llt|not applicable|n/a|cancelled|voided|omitted|sans objet|supprim|soppress|annull|anulad)[\s"''.!\-–—„“”]*$'))"""
+    f""", {_SEGMENTS}, live as (select * from segs where content <> '' and {_LIVE}), cut as (select *, {_BUDGET.format(x='content')} as pieces from live), p as (select * exclude (pieces), unnest(pieces) as piece, unnest(range(len(pieces))) as part from cut),
+n as (select *, row_number() over (partition by doc_id order by page, segment, part) - 1 as seq from p where {trim_sql('piece')} <> '')
+select regexp_replace(lower(regexp_replace(doc_id, '\\.pdf$', '')), '[^a-z0-9]+', '-', 'g') || '__' || region || '_' || regexp_replace(label, '[^a-zA-Z0-9]+', '_', 'g') || '__i' || seq as chunk_id, doc_id as source_file, page as page_number, heading as section_heading, lv_position, region as document_region, category_code, seq::int as seq, md5(piece) as digest from n"""
 )
+def chunk_rows(spark: SparkSession, d: str) -> DataFrame:
+    return segment.chunks(segment.segments(lines(spark, d))).withColumn("digest", F.md5("content")).drop("content")
+
+
+@query(f"select chunk_id from chunks1 where {_LIVE}")
 def cancelled_filter(spark: SparkSession, d: str) -> DataFrame:
     return chunks(spark, d).filter(~T.is_cancelled("content")).select("chunk_id")
 
 
-@query()
+@query(f"select chunk_id, (i - 1)::int as part, length(pieces[i]) as n_chars, md5(pieces[i]) as digest from (select chunk_id, pieces, unnest(range(1, len(pieces) + 1)) as i from (select chunk_id, {_BUDGET.format(x='content')} as pieces from chunks1))")
 def budget_split(spark: SparkSession, d: str) -> DataFrame:
-    return chunks(spark, d).select("chunk_id", F.posexplode(segment.split_to_budget(F.col("content"))).alias("part", "piece")).select("chunk_id", "part", F.length("piece").alias("n_chars"), F.md5("piece").alias("digest"))
+    return chunks(spark, d).select("chunk_id", F.posexplode(segment.split_to_budget(F.col("content"))).alias("part", "piece")).select("chunk_id", "part", F.length("piece").cast("long").alias("n_chars"), F.md5("piece").alias("digest"))
 
 
-@query()
+@query(
+    rf""", w as (select doc_id::varchar as doc_id, unnest(parts) as str, unnest(range(len(parts))) as ord from (select doc_id, regexp_split_to_array(text, '[\t\n\x0b\f\r ]+') as parts from documents where doc_id is not null)),
+gl as (select doc_id, floor(floor(ord / 6) / 40)::int as page, ord, str, (ord % 6) * 80.0::double as x, 700.0::double - (floor(ord / 6) % 40) * 12 - (ord % 6 % 3) * 2 as y, length(str) * 5.0::double as width, case when length(str) > 12 then 12.0 else 10.0 end::double as size from w where str <> ''),
+tol as (select doc_id, page, list_sort(list(size))[(count(*) // 2)::int + 1] * 0.5 as tol from gl group by 1, 2),
+fold as (select doc_id, page, list_reduce(list({{'first': y, 'band': 0, 'bands': [{{'ord': ord, 'band': 0}}], 'tol': tol}} order by y desc, x, ord), lambda a, g: case when abs(g.first - a.first) > g.tol then {{'first': g.first, 'band': a.band + 1, 'bands': a.bands || [{{'ord': g.bands[1].ord, 'band': a.band + 1}}], 'tol': g.tol}} else {{'first': a.first, 'band': a.band, 'bands': a.bands || [{{'ord': g.bands[1].ord, 'band': a.band}}], 'tol': g.tol}} end).bands as bands from gl join tol using (doc_id, page) group by 1, 2),
+b as (select doc_id, page, unnest(bands).ord as ord, unnest(bands).band as line_no from fold), z as (select *, x - lag(x + width) over (partition by doc_id, page, line_no order by x, ord) > size * 0.25 as gap from gl join b using (doc_id, page, ord))
+select doc_id, page, line_no, md5(trim(regexp_replace(string_agg(case when gap then ' ' || str else str end, '' order by x, ord), '[{WS_SQL}]+', ' ', 'g'))) as text, arg_min(x, (x, ord)) as x, max(y) as y, arg_max(x + width, (x, ord)) - arg_min(x, (x, ord)) as width, max(size) as font_size from z group by 1, 2, 3"""
+)
 def glyph_lines(spark: SparkSession, d: str) -> DataFrame:
     """The words of documents as glyphs, six a row, rows uneven in height."""
     w = table(spark, d, "documents").filter("doc_id is not null").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("ord", "str"))
@@ -284,9 +303,14 @@ def user_messages(spark: SparkSession, d: str) -> DataFrame:
     return c.select("chunk_id", F.md5(extract.user_message(*[F.col(x) for x in ("document_region", "lv_position", "category_code", "section_heading", "content")])).alias("digest"))
 
 
-@query()
+@query(
+    rf""", h as (select chunk_id, content, string_split(content, chr(10)) as l, regexp_split_to_array(content, '[{WS_SQL}]+') as w from chunks1 where ceil(length(content) / 4) > 3000),
+t as (select chunk_id, case when len(l) > 1 then [array_to_string(l[1:ceil(len(l) / 2)::int], chr(10)), array_to_string(l[ceil(len(l) / 2)::int + 1:], chr(10))] when len(w) > 1 then [array_to_string(w[1:ceil(len(w) / 2)::int], ' '), array_to_string(w[ceil(len(w) / 2)::int + 1:], ' ')]
+else [content[1:ceil(length(content) / 2)::int], content[ceil(length(content) / 2)::int + 1:]] end as halves from h)
+select chunk_id, (i - 1)::int as half, length(halves[i]) as n_chars from (select *, unnest([1, 2]) as i from t)"""
+)
 def content_halves(spark: SparkSession, d: str) -> DataFrame:
-    return chunks(spark, d).filter(T.token_estimate("content") > 3000).select("chunk_id", F.posexplode(extract.halves(F.col("content"))).alias("half", "text")).select("chunk_id", "half", F.length("text").alias("n_chars"))
+    return chunks(spark, d).filter(T.token_estimate("content") > 3000).select("chunk_id", F.posexplode(extract.halves(F.col("content"))).alias("half", "text")).select("chunk_id", "half", F.length("text").cast("long").alias("n_chars"))
 
 
 # Consolidation.
@@ -323,11 +347,55 @@ def identity_keys(spark: SparkSession, d: str) -> DataFrame:
     return C.identity_keys(C.remaining(C.units(extractions(spark, d))))
 
 
+_IDENTITY = f"""k as (select source_file, unit_key, 'a|' || item_number as key from rest where {position_sql('item_number')}
+union all select source_file, unit_key, 'b|' || {fold_sql('bullet_point')} || '|' || coalesce(section_heading, category_code, '') from rest where not {position_sql('item_number')} and bullet_point is not null
+union all select source_file, unit_key, 'c|' || category_code || '|' || {fold_sql('description_en')} from rest where {HAS_CATEGORY_SQL} and description_en is not null),
+m as (select source_file, key, min(unit_key) as low from k group by 1, 2), e as (select distinct source_file, unit_key as a, low as b from k join m using (source_file, key)), e2 as (select * from e union select source_file, b, a from e),
+r(source_file, unit_key, other) as (select source_file, unit_key, unit_key from rest union select r.source_file, r.unit_key, e2.b from r join e2 on e2.source_file = r.source_file and e2.a = r.other),
+grouped as (select source_file, unit_key, min(other) as id from r group by 1, 2)"""
+
+
+def _recursive(name: str, sql: str) -> None:
+    SQL[name] = f"with recursive {ONCE} {sql}"
+
+
+_recursive("identity_components", f", {_UNITS}, {_IDENTITY} select * from grouped")
+
+
 @query()
 def identity_components(spark: SparkSession, d: str) -> DataFrame:
     return C.identity_groups(C.remaining(C.units(extractions(spark, d))))
 
 
+def _joined(x: str) -> str:
+    """Texts of an ordered list joined without restatements."""
+    told = f"list_filter({x}, lambda t: t is not null and {fold_sql('t')} <> '')"
+    return rf"""(case when len({told}) > 0 then array_to_string(list_reduce(
+list_transform({told}, lambda t: {{'parts': [{trim_sql('t')}], 'seen': [{fold_sql('t')}], 'words': list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: length(w) > 3), 'numbers': list_transform(regexp_extract_all(t, '\d[\d.,]*'), lambda n: regexp_replace(n, '[.,]', '', 'g'))}}),
+lambda a, y: case when list_contains(a.seen, y.seen[1]) or (len(list_filter(y.words, lambda w: list_contains(a.words, w))) >= 0.85 * len(y.words) and len(list_filter(y.numbers, lambda n: not list_contains(a.numbers, n))) = 0) then a
+else {{'parts': a.parts || y.parts, 'seen': a.seen || y.seen, 'words': a.words || y.words, 'numbers': a.numbers || y.numbers}} end).parts, chr(10) || chr(10)) end)"""
+
+
+_STRONG = "case {x} when 'must' then 3 when 'should' then 2 when 'optional' then 1 end"
+_SURE = "case {x} when 'high' then 3 when 'medium' then 2 when 'low' then 1 end"
+_STRONGEST = f"case max({_STRONG.format(x='priority')}) when 3 then 'must' when 2 then 'should' else 'optional' end"
+#: Body fields of the fullest unit, as of rows ``all_`` (source_file, id, ...).
+_REP = f"arg_max({{{{'c': confidence, 'i': item_number, 'e': equivalence_allowed, 's': section_heading, 'd': description_en, 'u': unit_key}}}}, {{{{'l': length(description_en), 'r': coalesce({_SURE.format(x='confidence')}, 0), 'o': -ext_ord}}}})".replace("{{", "{").replace("}}", "}")
+
+_recursive(
+    "consolidated",
+    f""", {_UNITS}, {_IDENTITY}, cl as (select source_file, category_code, list(chunk_id order by o, chunk_id) as placements from pl group by 1, 2),
+all_ as (select g.id, false as spec, rest.* from rest join grouped g using (source_file, unit_key) union all select unit_key, true, sp.* from sp),
+refs as (select source_file, id, position from (select source_file, id, unnest(cross_referenced_positions) as position from all_) group by all),
+src as (select source_file, id, list(chunk_id order by o) as chunk_ids from (select source_file, id, chunk_id, min((ext_ord, unit_key)) as o from all_ group by 1, 2, 3) group by 1, 2),
+q as (select source_file, id, bool_or(spec) as spec, count(*) as n, count_if({position_sql('item_number')}) as n_pos, min(item_number) = max(item_number) and count(item_number) = count(*) as one_number, {_REP} as rep, arg_min(bullet_point, (ext_ord, unit_key)) as bullet_point, {_STRONGEST} as priority, min(ext_ord) as req_order, min(category_code) as category_code, list(description_en order by ext_ord, unit_key) as texts from all_ group by 1, 2),
+o as (select q.*, case when spec then list_distinct_(chunk_ids, cl.placements) else chunk_ids end as sources from q join src using (source_file, id) left join cl on cl.source_file = q.source_file and cl.category_code = q.category_code and q.spec),
+tg as (select source_file, rep.i as position, arg_max(id, (req_order, id)) as target from o where {position_sql('rep.i')} group by 1, 2), x as (select refs.source_file, refs.id, count(*) as n_refs from refs join tg on tg.source_file = refs.source_file and tg.position = refs.position where target <> refs.id group by 1, 2)
+select o.source_file, o.id, array_to_string(sources, ' ') as sources, case when spec then 'vorbemerkungen-category' when n = 1 then 'standalone' when n_pos > 0 and one_number then 'lv-position-match' else 'staging-dedup' end as rule, (len(sources) + coalesce(n_refs, 0))::int as n_evidence,
+bullet_point, md5(coalesce({_joined('texts')}, rep.d)) as digest, priority, rep.c as confidence, rep.i as item_number, req_order from o left join x on x.source_file = o.source_file and x.id = o.id""".replace("list_distinct_(chunk_ids, cl.placements)", "chunk_ids || list_filter(coalesce(cl.placements, []), lambda c: c <> chunk_ids[1])"),
+)
+
+
 @query()
 def consolidated(spark: SparkSession, d: str) -> DataFrame:
     out = C.consolidate(extractions(spark, d))
@@ -335,38 +403,31 @@ def consolidated(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _by_position(spark: SparkSession, d: str) -> DataFrame:
-    return extractions(spark, d).filter(T.is_position("item_number"))
+    """The position units of each tender merged by their code, without the other keys."""
+    rows = C.units(extractions(spark, d)).filter(T.is_position("item_number"))
+    return C.merged(rows, rows.select("source_file", "unit_key", F.col("item_number").alias("id")))
 
 
-_RANK_C = "case confidence when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end"
+_POS = f"pos as (select * from extractions1 where {position_sql('item_number')})"
 
 
-@query(
-    f"""select source_file, item_number, arg_max(unit_key, {{'l': length(description_en), 'r': {_RANK_C}, 'o': -ext_ord}}) as representative, arg_min(bullet_point, ext_ord) as title, count(*) as n_units,
-case max(case priority when 'must' then 3 when 'should' then 2 when 'optional' then 1 end) when 3 then 'must' when 2 then 'should' when 1 then 'optional' end as priority,
-case min(case confidence when 'high' then 3 when 'medium' then 2 when 'low' then 1 end) when 3 then 'high' when 2 then 'medium' when 1 then 'low' end as weakest
-from extractions1 where {position_sql('item_number')} group by 1, 2"""
-)
+@query(f", {_POS}, q as (select source_file, item_number as id, {_REP} as rep, arg_min(bullet_point, (ext_ord, unit_key)) as bullet_point, {_STRONGEST} as priority, count(*) as n from pos group by 1, 2) select source_file, id, bullet_point, priority, rep.c as confidence, rep.e as equivalence_allowed, rep.s as section_heading, case when n = 1 then 'standalone' else 'lv-position-match' end as rule from q")
 def merge_representative(spark: SparkSession, d: str) -> DataFrame:
-    best = F.max_by("unit_key", F.struct(F.length("description_en"), F.coalesce(T.rank("confidence", "confidence"), F.lit(0)), -F.col("ext_ord")))
-    return _by_position(spark, d).groupBy("source_file", "item_number").agg(
-        best.alias("representative"), F.min_by("bullet_point", "ext_ord").alias("title"), F.count("*").alias("n_units"), T.unrank(F.max(T.rank("priority", "priority")), "priority").alias("priority"), T.unrank(F.min(T.rank("confidence", "confidence")), "confidence").alias("weakest")
-    )
+    return _by_position(spark, d).select("source_file", "id", "bullet_point", "priority", "confidence", "equivalence_allowed", "section_heading", "merge_record.rule")
 
 
 @query(
-    f""", x as (select source_file, item_number, v, min((ext_ord, i)) as o from (select source_file, item_number, ext_ord, unnest(standards) as v, unnest(range(len(standards))) as i from extractions1 where {position_sql('item_number')}) group by 1, 2, 3)
-select source_file, item_number, string_agg(v, '|' order by o) as standards from x group by 1, 2"""
+    f""", {_POS}, x as (select source_file, item_number as id, v, min((ext_ord, i)) as o from (select source_file, item_number, ext_ord, unnest(standards) as v, unnest(range(len(standards))) as i from pos) group by 1, 2, 3),
+y as (select source_file, item_number as id, chunk_id, min((ext_ord, unit_key)) as o from pos group by 1, 2, 3), a as (select source_file, id, string_agg(v, '|' order by o) as standards from x group by 1, 2), b as (select source_file, id, string_agg(chunk_id, ' ' order by o) as sources from y group by 1, 2)
+select source_file, id, coalesce(standards, '') as standards, sources from b left join a using (source_file, id)"""
 )
 def merge_arrays(spark: SparkSession, d: str) -> DataFrame:
-    rows = F.collect_list(F.struct("ext_ord", "standards"))
-    return _by_position(spark, d).groupBy("source_file", "item_number").agg(F.array_join(T.ordered_union(rows, "ext_ord", "standards"), "|").alias("standards")).filter("standards <> ''")
+    return _by_position(spark, d).select("source_file", "id", F.array_join("standards", "|").alias("standards"), F.array_join("source_chunk_ids", " ").alias("sources"))
 
 
-@query()
+@query(f", {_POS}, q as (select source_file, item_number as id, list(description_en order by ext_ord, unit_key) as en, list(description_de order by ext_ord, unit_key) as de from pos group by 1, 2) select source_file, id, md5({_joined('en')}) as en, md5({_joined('de')}) as de from q")
 def join_descriptions(spark: SparkSession, d: str) -> DataFrame:
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("ext_ord", "description_en"))), lambda r: r["description_en"])
-    return _by_position(spark, d).groupBy("source_file", "item_number").agg(F.md5(C.joined_descriptions(texts)).alias("digest"))
+    return _by_position(spark, d).select("source_file", "id", F.md5("description_en").alias("en"), F.md5("description_de").alias("de"))
 
 
 @query(
@@ -418,6 +479,21 @@ def link_closed_form(spark: SparkSession, d: str) -> DataFrame:
     return link.linked(link.top_candidates(link.candidates(r), r), _seeded_verdicts(spark, d), r)
 
 
+_recursive(
+    "link_merge",
+    f""", {_CAND}, v as (select least(a_id, b_id) as x, greatest(a_id, b_id) as y from verdicts where lower({trim_sql('relation')}) = 'same' union select least(a_id, b_id), greatest(a_id, b_id) from cand where right(a_id, 1) = right(b_id, 1)),
+sd as (select top.source_file, o_id as id, p_id, p.item_number as code, first_value(p.item_number) over (partition by top.source_file, o_id order by rank) as first_code from top join v on v.x = least(a_id, b_id) and v.y = greatest(a_id, b_id) join requirements1 p on p.id = p_id),
+e as (select source_file, id as a, p_id as b from sd where code = first_code), e2 as (select * from e union select source_file, b, a from e), r(source_file, id, other) as (select distinct source_file, a, a from e2 union select r.source_file, r.id, e2.b from r join e2 on e2.source_file = r.source_file and e2.a = r.other),
+g as (select source_file, r.id, min(other) filter (where other in (select b from e)) as root from r group by 1, 2),
+mb as (select q.*, coalesce(g.root, q.id) as root, {position_sql('item_number')} as pos from requirements1 q left join g on g.source_file = q.source_file and g.id = q.id),
+ids as (select source_file, root, string_agg(c, ' ' order by o) as sources from (select source_file, root, c, min((req_order, id, i)) as o from (select source_file, root, req_order, id, unnest(source_chunk_ids) as c, unnest(range(len(source_chunk_ids))) as i from mb) group by 1, 2, 3) group by 1, 2),
+tx as (select source_file, root, string_agg({trim_sql('t')}, chr(10) || chr(10) order by o) as text from (select source_file, root, {fold_sql('description_en')} as f, arg_min(description_en, (req_order, id)) as t, min((req_order, id)) as o from mb where description_en is not null and {fold_sql('description_en')} <> '' group by 1, 2, 3) group by 1, 2),
+a as (select source_file, root, count(*) as n, min(id) as id, arg_min({{'b': bullet_point, 'i': item_number}}, {{'p': not pos, 'l': case when pos then 0 else -length(description_en) end, 'o': req_order, 'i': id}}) as rep, {_STRONGEST} as p, min(coalesce({_SURE.format(x='confidence')}, 3)) as c, arg_min(equivalence_allowed, (req_order, id)) filter (where equivalence_allowed is not null) as equivalence_allowed, min(merge_record.rule) as rule, min(priority) as own_p, min(confidence) as own_c, min(description_en) as own_t, first(array_to_string(source_chunk_ids, ' ')) as own_s from mb group by 1, 2)
+select a.source_file, id, n as n_members, case when n > 1 then coalesce(sources, '') else own_s end as sources, case when n > 1 then 'semantic-link' else rule end as rule, rep.b as bullet_point, md5(case when n > 1 then coalesce(text, '') else own_t end) as digest, case when n > 1 then p else own_p end as priority, case when n = 1 then own_c else case c when 3 then 'high' when 2 then 'medium' else 'low' end end as confidence, equivalence_allowed, rep.i as item_number
+from a left join ids using (source_file, root) left join tx using (source_file, root)""",
+)
+
+
 @query()
 def link_merge(spark: SparkSession, d: str) -> DataFrame:
     r = requirements(spark, d)
@@ -512,20 +588,36 @@ def dominant_language(spark: SparkSession, d: str) -> DataFrame:
     return tree.dominant_language(requirements(spark, d))
 
 
-@query(
-    f""", {_TAXED}, q as (select r.*, l1_key, l1_label, l2_key, l2_label, (req_order, id) as o from requirements1 r join taxed using (source_file, id)),
+def _tree_sql(groups: str, table_: str, description: bool) -> str:
+    """The node table of groups (source_file, id, l1_key, l1_label, l2_key, l2_label), with the texts of the leaves where asked for."""
+    texts = ", {en} as description_en, {other} as description_other" if description else ""
+    none, own = texts.format(en="null", other="null"), texts.format(en="description_en", other="case when description_de <> '' and language <> 'en' then description_de end")
+    return f""", {groups}, lg as (select source_file, coalesce(arg_max(l, (n, -f)) filter (where l is not null), 'en') as language from (select source_file, nullif(lower(source_language)[1:2], '') as l, count(*) as n, min(req_order) as f from requirements1 group by 1, 2) group by 1), q as (select r.*, language, l1_key, l1_label, l2_key, l2_label, (req_order, id) as o from requirements1 r join {table_} using (source_file, id) join lg using (source_file)),
 a as (select *, dense_rank() over (partition by source_file order by o1) - 1 as i1 from (select *, min(o) over (partition by source_file, l1_key) as o1, min(o) over (partition by source_file, l1_key, l2_key) as o2 from q)),
 b as (select *, dense_rank() over (partition by source_file, l1_key order by o2) - 1 as i2, row_number() over (partition by source_file, l1_key, l2_key order by o) - 1 as i3 from a)
-select source_file, 'r' as path, null as parent_path, 0 as depth, 0 as ord, source_file as bullet_point, 'must' as priority, null as confidence, sum(len(source_chunk_ids))::bigint as n_chunks from b group by all
-union all select source_file, 'r.' || i1, 'r', 1, i1::int, arg_min(l1_label, o), 'must', null, sum(len(source_chunk_ids))::bigint from b group by source_file, i1
-union all select source_file, 'r.' || i1 || '.' || i2, 'r.' || i1, 2, i2::int, arg_min(l2_label, o), 'must', null, sum(len(source_chunk_ids))::bigint from b group by source_file, i1, i2
-union all select source_file, 'r.' || i1 || '.' || i2 || '.' || i3, 'r.' || i1 || '.' || i2, 3, i3::int, bullet_point, priority, confidence, len(source_chunk_ids)::bigint from b"""
-)
+select source_file, 'r' as path, null as parent_path, 0 as depth, 0 as ord, source_file as bullet_point, 'must' as priority, null as confidence, sum(len(source_chunk_ids))::bigint as n_chunks{none} from b group by all
+union all select source_file, 'r.' || i1, 'r', 1, i1::int, arg_min(l1_label, o), 'must', null, sum(len(source_chunk_ids))::bigint{none} from b group by source_file, i1
+union all select source_file, 'r.' || i1 || '.' || i2, 'r.' || i1, 2, i2::int, arg_min(l2_label, o), 'must', null, sum(len(source_chunk_ids))::bigint{none} from b group by source_file, i1, i2
+union all select source_file, 'r.' || i1 || '.' || i2 || '.' || i3, 'r.' || i1 || '.' || i2, 3, i3::int, bullet_point, priority, confidence, len(source_chunk_ids)::bigint{own} from b"""
+
+
+@query(_tree_sql(_TAXED, "taxed", False))
 def tree_nodes(spark: SparkSession, d: str) -> DataFrame:
     r = requirements(spark, d)
     return tree.tree_nodes(r, tree.taxonomy_groups(r, taxonomy(spark, d))).select("source_file", "path", "parent_path", "depth", "ord", "bullet_point", "priority", "confidence", F.size("chunk_ids").cast("long").alias("n_chunks"))
 
 
+@query(_tree_sql(_FALLBACK, "fallback", True))
+def tree_json_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The nested JSON of each tender, taken apart again."""
+    made = tree_json(spark, d).select(F.col("source_file").alias("tree_id"), "tree_json", F.current_timestamp().alias("produced_at"), F.current_timestamp().alias("loaded_at"))
+    nodes, links = nested.tree_nodes(made), nested.tree_links(made).filter("link = 'chunk'").groupBy("tree_id", F.col("parent_path").alias("path")).agg(F.count("*").alias("n_chunks"))
+    texts = F.from_json("description", "map<string,string>")
+    other = F.get(F.map_values(F.map_filter(texts, lambda k, _: k != "en")), F.lit(0))
+    out = nodes.join(links, ["tree_id", "path"], "left")
+    return out.select(F.col("tree_id").alias("source_file"), "path", "parent_path", "depth", "ord", "bullet_point", "priority", "confidence", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), texts["en"].alias("description_en"), other.alias("description_other"))
+
+
 @query()
 def tree_json(spark: SparkSession, d: str) -> DataFrame:
     r = requirements(spark, d)
@@ -553,6 +645,13 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").filter("source_file is not null").select("source_file", T.file_slug("source_file").alias("slug"), T.folder_name("source_file").alias("folder")).distinct()
 
 
+_NESTED = r"""recursive t as (select tree_id, arg_max(tree_json, (produced_at, loaded_at))::json as j from deliverable_trees where tree_id is not null and json_valid(tree_json) group by 1),
+n(tree_id, path, ord, j) as (select tree_id, 'r', 0, j from t where json_type(j) <> 'NULL' union all select tree_id, path || '.' || (i - 1), (i - 1)::int, kids[i] from (select tree_id, path, kids, unnest(range(1, len(kids) + 1)) as i from (select tree_id, path, case json_type(j, '$.deliverableArray') when 'ARRAY' then json_extract(j, '$.deliverableArray[*]') when 'NULL' then [] else [json_extract(j, '$.deliverableArray')] end as kids from n where json_type(j, '$.deliverableArray') is not null)) where json_type(kids[i]) <> 'NULL')"""
+_FIELD = "case when json_type(j, '$.{x}') in ('OBJECT', 'ARRAY') then json_extract(j, '$.{x}')::varchar else json_extract_string(j, '$.{x}') end"
+SQL["p4_nodes"] = f"""with {_NESTED} select tree_id, path, case when path <> 'r' then regexp_replace(path, '[.][0-9]+$', '') end as parent_path, len(string_split(path, '.'))::int - 1 as depth, ord,
+{_FIELD.format(x='bulletPoint')} as bullet_point, {_FIELD.format(x='description')} as description, {_FIELD.format(x='priority')} as priority, {_FIELD.format(x='confidence')} as confidence, {_FIELD.format(x='status')} as status, json_type(j) = 'OBJECT' as is_object from n"""
+SQL["p4_subtrees"] = f"""with {_NESTED}, k as (select tree_id, path, not exists (select 1 from n c where c.tree_id = n.tree_id and c.path like n.path || '.%') as leaf from n)
+select n.tree_id, n.path, count(*) as n_nodes, count_if(k.leaf)::bigint as n_leaves from n join k on k.tree_id = n.tree_id and (k.path = n.path or k.path like n.path || '.%') group by 1, 2"""
 SQL["p4_found"] = r"""with recursive t as (select tree_id, arg_max(tree_json, (produced_at, loaded_at))::json as j from deliverable_trees where tree_id is not null and json_valid(tree_json) group by 1),
 n(tree_id, path, j) as (select tree_id, 'r', j from t union all select tree_id, path || '.' || (i - 1), kids[i] from (select tree_id, path, kids, unnest(range(1, len(kids) + 1)) as i from (select tree_id, path, case json_type(j, '$.deliverableArray') when 'ARRAY' then json_extract(j, '$.deliverableArray[*]') when 'NULL' then [] else [json_extract(j, '$.deliverableArray')] end as kids from n where json_type(j, '$.deliverableArray') is not null)) where json_type(kids[i]) <> 'NULL'),
 d as (select tree_id, path, 'deliverable' as link, case json_type(j, '$.deliverableArray') when 'ARRAY' then json_extract(j, '$.deliverableArray[*]') when 'NULL' then [] else [json_extract(j, '$.deliverableArray')] end as kids from n where json_type(j, '$.deliverableArray') is not null
