@@ -38,16 +38,12 @@ def lines(glyph_rows: DataFrame, cfg: Layout = DEFAULT) -> DataFrame:
     row = F.struct((-F.col("y")).alias("down"), "x", "ord", "y", "str", "width", "size")
     pages = g.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(row)).alias("g"), F.array_sort(F.collect_list(F.when(F.col("size") > 0, F.col("size")))).alias("sizes"))
     median = F.coalesce(F.get("sizes", F.floor(F.size("sizes") / 2).cast("int")), F.lit(cfg.default_size))
-    start = F.struct(F.lit(0).alias("band"), F.lit(None).cast("double").alias("first"), F.array().cast("array<int>").alias("bands"))
-
-    def step(acc, y):
-        new = acc["first"].isNotNull() & (F.abs(y - acc["first"]) > F.col("tolerance"))
-        band = F.when(new, acc["band"] + 1).otherwise(acc["band"])
-        first = F.when(new | acc["first"].isNull(), y).otherwise(acc["first"])
-        return F.struct(band.alias("band"), first.alias("first"), F.concat(acc["bands"], F.array(band)).alias("bands"))
-
-    banded = pages.withColumn("tolerance", median * cfg.line_tolerance).withColumn("bands", F.aggregate("g.y", start, step, lambda acc: acc["bands"]))
-    flat = banded.select("doc_id", "page", F.explode(F.arrays_zip("g", "bands")).alias("z")).select("doc_id", "page", F.col("z.bands").alias("line_no"), "z.g.*")
+    # Only the heights that open a band are carried along, so the fold copies a few values, not one for each glyph.
+    start = F.array().cast("array<double>")
+    step = lambda opened, y: F.when(F.coalesce(F.abs(y - F.element_at(opened, -1)) > F.col("tolerance"), F.lit(True)), F.concat(opened, F.array(y))).otherwise(opened)
+    banded = pages.withColumn("tolerance", median * cfg.line_tolerance).withColumn("opened", F.aggregate("g.y", start, lambda o, y: F.when(F.size(o) == 0, F.array(y)).otherwise(step(o, y))))
+    line_no = F.size(F.filter("opened", lambda o: o >= F.col("z.y"))) - 1
+    flat = banded.select("doc_id", "page", "opened", F.explode("g").alias("z")).select("doc_id", "page", line_no.alias("line_no"), "z.*")
     w = Window.partitionBy("doc_id", "page", "line_no").orderBy("x", "ord")
     gap = F.col("x") - F.lag(F.col("x") + F.col("width")).over(w) > F.col("size") * cfg.word_gap
     part = F.concat(F.when(gap, F.lit(" ")).otherwise(F.lit("")), "str")

@@ -120,6 +120,13 @@ def united(ranked: DataFrame, verdicts: DataFrame, requirements: DataFrame) -> D
     return sides.select("source_file", "id", "position_id").groupBy("source_file").applyInPandas(_groups, "source_file string, id string, position_id string")
 
 
+def guarded(links: DataFrame, requirements: DataFrame) -> DataFrame:
+    """The links of the groups that hold at most one position code: a last look before groups become one requirement each. Members of others stay apart."""
+    codes = requirements.filter(T.is_position("item_number")).select("source_file", "id", "item_number")
+    held = links.join(codes, ["source_file", "id"], "left").groupBy("source_file", "position_id").agg(F.min("item_number").alias("low"), F.max("item_number").alias("high"))
+    return links.join(held.filter(F.col("low").isNull() | (F.col("low") == F.col("high"))).select("source_file", "position_id"), ["source_file", "position_id"], "left_semi").select("source_file", "id", "position_id")
+
+
 def merge_linked(requirements: DataFrame, links: DataFrame) -> DataFrame:
     """The requirements with every linked group as one.
 

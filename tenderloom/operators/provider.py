@@ -19,6 +19,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tenderloom.config import env_int
 from tenderloom.runtime import ship
@@ -30,6 +31,13 @@ class Truncated(Exception):
     """The reply was cut off for length: asking the same again is no use, asking for less may be."""
 
 
+class Reply(str):
+    """A reply that knows what it cost; a plain text costs nothing known."""
+
+    prompt_tokens: int = 0
+    completion_tokens: int = 0
+
+
 class Provider(Protocol):
     def reply(self, system: str, message: str) -> str | None: ...
 
@@ -79,11 +87,14 @@ class HttpProvider:
             try:
                 request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {key}"})
                 with urllib.request.urlopen(request, timeout=self.timeout) as r:
-                    choice = json.load(r)["choices"][0]
+                    answer = json.load(r)
+                choice = answer["choices"][0]
                 if choice.get("finish_reason") == "length":
                     raise Truncated
-                text = choice["message"]["content"]
+                text = Reply(choice["message"]["content"])
                 json.loads(text)
+                usage = answer.get("usage") or {}
+                text.prompt_tokens, text.completion_tokens = int(usage.get("prompt_tokens") or 0), int(usage.get("completion_tokens") or 0)
                 return text
             except ValueError:
                 continue  # a malformed reply is asked for again at once
@@ -93,22 +104,34 @@ class HttpProvider:
         return None
 
 
-def ask(messages: DataFrame, provider: Provider, system: str, in_flight: int | None = None) -> DataFrame:
-    """``messages`` (key, message) with ``reply``, null where the provider failed, and ``truncated``, whether for length. Each task has so many calls in flight."""
+REPLIES = "key string, message string, reply string, truncated boolean, prompt_tokens long, completion_tokens long"
+
+
+def ask(messages: DataFrame, provider: Provider, system: str | None = None, in_flight: int | None = None) -> DataFrame:
+    """``messages`` (key, message, and system unless it is given) with ``reply``, null where the provider failed, ``truncated``, whether for length, and the tokens used where the provider tells. Each task has so many calls in flight."""
     ship(messages.sparkSession)
     threads = in_flight or env_int("CONCURRENCY_LIMIT", 3)
 
-    def one(message: str) -> tuple[str | None, bool]:
+    def one(system: str, message: str) -> tuple[str | None, bool, int, int]:
         try:
-            return provider.reply(system, message), False
+            text = provider.reply(system, message)
         except Truncated:
-            return None, True
+            return None, True, 0, 0
+        return (None if text is None else str(text)), False, getattr(text, "prompt_tokens", 0), getattr(text, "completion_tokens", 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(threads) as pool:
             for b in batches:
-                replies = list(pool.map(one, b["message"]))
-                b["reply"], b["truncated"] = [r for r, _ in replies], [t for _, t in replies]
-                yield b[["key", "message", "reply", "truncated"]]
+                got = list(pool.map(one, b["system"], b["message"]))
+                for i, c in enumerate(("reply", "truncated", "prompt_tokens", "completion_tokens")):
+                    b[c] = [g[i] for g in got]
+                yield b[[c.split()[0] for c in REPLIES.split(", ")]]
+
+    told = F.col("system") if system is None else F.lit(system)
+    return messages.select("key", "message", told.alias("system")).mapInPandas(run, REPLIES)
+
 
-    return messages.select("key", "message").mapInPandas(run, "key string, message string, reply string, truncated boolean")
+def usage(replies: DataFrame, stage: str) -> DataFrame:
+    """(stage, calls, failed, truncated, prompt_tokens, completion_tokens) of the replies of a stage."""
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return replies.agg(F.count("*").alias("calls"), F.count_if(F.col("reply").isNull() & ~F.col("truncated")).alias("failed"), F.count_if("truncated").alias("truncated"), n("prompt_tokens").alias("prompt_tokens"), n("completion_tokens").alias("completion_tokens")).select(F.lit(stage).alias("stage"), "*")

@@ -138,3 +138,8 @@ def chunks(segment_rows: DataFrame, cfg: Chunking = DEFAULT) -> DataFrame:
         name.alias("chunk_id"), F.col("doc_id").alias("source_file"), F.col("page").alias("page_number"), F.col("heading").alias("section_heading"), "lv_position", F.col("region").alias("document_region"), "category_code",
         F.col("piece").alias("content"), F.col("seq").cast("int").alias("seq"),
     )
+
+
+def region_counts(chunk_rows: DataFrame) -> DataFrame:
+    """(source_file, document_region, n_chunks)."""
+    return chunk_rows.groupBy("source_file", "document_region").agg(F.count("*").alias("n_chunks"))

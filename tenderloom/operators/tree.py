@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
+from tenderloom.operators import nested
 from tenderloom.operators.link import group_key
 from tenderloom.operators.order import numbered
-from tenderloom.runtime import Cut
+from tenderloom.runtime import Cut, ship
 
 #: Requirements numbered in one window, by their place in the tender.
 BLOCK = 10_000
@@ -79,6 +83,17 @@ def level_counts(groups: DataFrame) -> DataFrame:
     return groups.rollup("source_file", "l1_key", "l2_key").agg(F.count("*").alias("n_leaves")).filter("source_file is not null")
 
 
+def group_counts(groups: DataFrame) -> DataFrame:
+    """(source_file, n_l1, n_l2, n_requirements): the different first-level and second-level groups of each tender."""
+    return groups.groupBy("source_file").agg(F.countDistinct("l1_key").alias("n_l1"), F.countDistinct("l1_key", "l2_key").alias("n_l2"), F.count("*").alias("n_requirements"))
+
+
+def leaf_count(nodes: DataFrame) -> DataFrame:
+    """(source_file, n_leaves): the nodes of each tree without children; a tree that is only its root has one."""
+    inner = nodes.select("source_file", F.col("parent_path").alias("path")).filter("path is not null").distinct()
+    return nodes.select("source_file", "path").join(inner, ["source_file", "path"], "left_anti").groupBy("source_file").agg(F.count("*").alias("n_leaves"))
+
+
 def leaf_description(en: Column, original: Column, language: Column) -> Column:
     """The texts by language: English, and the original under the tender's language unless that is English or there is none."""
     other = F.coalesce((original != "") & (language != "en"), F.lit(False))
@@ -142,3 +157,51 @@ def broken_nodes(nodes: DataFrame) -> DataFrame:
     """The nodes that break the output contract: a null title, an unknown priority or confidence, or a leaf without its English text."""
     ok = F.col("bullet_point").isNotNull() & F.coalesce(F.col("priority").isin("must", "should", "optional"), F.lit(False)) & F.coalesce(F.col("confidence").isin("high", "medium", "low"), F.lit(True)) & ((F.col("depth") < 3) | F.col("description")["en"].isNotNull())
     return nodes.filter(~ok)
+
+
+# The fields of an output node, and the values of those that have few.
+TEXT_OR_NULL = ("feedbackText", "openQuestionId")
+LISTS = ("procurementDocumentChunkIdArray", "workspaceDocumentChunkIdArray", "citedProductIdArray", "citedPersonIdArray")
+VALUES = {
+    "priority": ("must", "should", "optional"), "confidence": ("high", "medium", "low", None), "equivalenceAllowed": (True, False, None), "fullfillable": ("yes", "no", "maybe", None), "feedback": ("good", "bad", None),
+    "status": ("waitingForAnalysis", "waitingForAnswer", "waitingForAnswerPropagation", "waitingForReview", "userDefined"),
+}
+
+
+def broken_fields(node: object) -> list[str]:
+    """The fields of a node that break the output contract; ``*`` if it is no object at all."""
+    if not isinstance(node, dict):
+        return ["*"]
+    missing = object()
+    get = lambda f: node.get(f, missing)
+    texts = lambda v: isinstance(v, dict) and all(isinstance(x, str) for x in v.values())
+    listed = lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v)
+    ok = {"bulletPoint": isinstance(get("bulletPoint"), str) and bool(node["bulletPoint"]), "description": texts(get("description")), "aiReasoning": get("aiReasoning") is None or texts(get("aiReasoning")), "deliverableArray": isinstance(get("deliverableArray"), list)}
+    ok |= {f: any(get(f) is v for v in values if not isinstance(v, str)) or isinstance(get(f), str) and node[f] in values for f, values in VALUES.items()}
+    ok |= {f: get(f) is None or isinstance(get(f), str) for f in TEXT_OR_NULL}
+    ok |= {f: listed(get(f)) for f in LISTS}
+    return sorted(f for f, good in ok.items() if not good)
+
+
+def contract_errors(trees: DataFrame) -> DataFrame:
+    """(source_file, path, field) of every field of every node of (source_file, tree_json) that breaks the output contract; a text that isn't JSON is one error of its root."""
+    ship(trees.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for name, text in zip(b["source_file"], b["tree_json"], strict=True):
+                try:
+                    root = nested.parse(text)
+                except ValueError:
+                    rows.append((name, "r", "*"))
+                    continue
+                todo = [("r", root)]
+                while todo:
+                    path, node = todo.pop()
+                    rows.extend((name, path, f) for f in broken_fields(node))
+                    kids = node.get(nested.CHILDREN) if isinstance(node, dict) else None
+                    todo.extend((f"{path}.{i}", x) for i, x in enumerate(kids if isinstance(kids, list) else []))
+            yield pd.DataFrame(rows, columns=["source_file", "path", "field"])
+
+    return trees.select("source_file", "tree_json").mapInPandas(run, "source_file string, path string, field string")

@@ -580,6 +580,16 @@ def leaf_counts(spark: SparkSession, d: str) -> DataFrame:
     return tree.level_counts(tree.taxonomy_groups(requirements(spark, d), taxonomy(spark, d)))
 
 
+@query(f", {_TAXED} select source_file, count(distinct l1_key) as n_l1, count(distinct (l1_key, l2_key)) as n_l2, count(*) as n_requirements from taxed group by 1")
+def group_counts(spark: SparkSession, d: str) -> DataFrame:
+    return tree.group_counts(tree.taxonomy_groups(requirements(spark, d), taxonomy(spark, d)))
+
+
+@query("select source_file, document_region, count(*) as n_chunks from chunks1 group by 1, 2")
+def region_counts(spark: SparkSession, d: str) -> DataFrame:
+    return segment.region_counts(chunks(spark, d))
+
+
 @query(
     """, c as (select source_file, nullif(lower(source_language)[1:2], '') as l, count(*) as n, min(req_order) as f from requirements1 group by 1, 2)
 select source_file, coalesce(arg_max(l, (n, -f)) filter (where l is not null), 'en') as language from c group by 1"""
@@ -618,6 +628,19 @@ def tree_json_nodes(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("tree_id").alias("source_file"), "path", "parent_path", "depth", "ord", "bullet_point", "priority", "confidence", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), texts["en"].alias("description_en"), other.alias("description_other"))
 
 
+@query("select null::varchar as source_file, null::varchar as path, null::varchar as field where false")
+def tree_contract(spark: SparkSession, d: str) -> DataFrame:
+    """What of the nested JSON breaks the output contract, where the texts of requirements are given: nothing."""
+    r = requirements(spark, d).withColumns({c: F.coalesce(c, F.lit(x)) for c, x in (("bullet_point", "-"), ("description_en", ""), ("priority", "optional"))})
+    return tree.contract_errors(tree.tree_json(tree.tree_nodes(r, tree.fallback_groups(r))))
+
+
+@query(f", {_FALLBACK} select source_file, count(*) as n_leaves from fallback group by 1")
+def tree_leaf_counts(spark: SparkSession, d: str) -> DataFrame:
+    r = requirements(spark, d)
+    return tree.leaf_count(tree.tree_nodes(r, tree.fallback_groups(r)))
+
+
 @query()
 def tree_json(spark: SparkSession, d: str) -> DataFrame:
     r = requirements(spark, d)
