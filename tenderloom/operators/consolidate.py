@@ -7,7 +7,7 @@ section, an equal description in one category.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as T
@@ -72,25 +72,30 @@ def identity_keys(unit_rows: DataFrame) -> DataFrame:
 def identity_groups(unit_rows: DataFrame) -> DataFrame:
     """(source_file, unit_key, id): ``id`` is the least unit key of each set of units that keys connect.
 
-    Labels go from units to their keys and back as minima until none changes;
-    both aggregations combine map-side, so a key that most units share is one
-    row per task. Each round follows labels to their own label, too, which
-    halves the distance that is left. Rounds are written to the shared folder.
+    A key is a star around its least unit, so one that most units share is one
+    edge for each of them; units that share no key take no part in the rounds.
+    Labels spread as minima, combined map-side, until none changes. Each round
+    follows labels to their own label, too, which halves the distance that is
+    left. Rounds are written to the shared folder.
     """
-    keys = Cut(identity_keys(unit_rows).select("source_file", "unit_key", F.xxhash64("source_file", "key").alias("h"), "key"), "keys").df
-    labels = Cut(unit_rows.select("source_file", "unit_key", F.col("unit_key").alias("id")).distinct(), "labels")
+    keyed = identity_keys(unit_rows).select("source_file", "unit_key", F.xxhash64("source_file", "key").alias("h"), "key")
+    least = keyed.groupBy("source_file", "h", "key").agg(F.min("unit_key").alias("low"), F.count("*").alias("n")).filter("n > 1")
+    # A key makes a star around its least unit; keys of one unit connect nothing.
+    edges = Cut(keyed.join(least, ["source_file", "h", "key"]).filter("unit_key <> low").select("source_file", F.col("unit_key").alias("a"), F.col("low").alias("b")).distinct(), "edges").df
+    both = edges.unionByName(edges.select("source_file", F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = Cut(both.groupBy("source_file", F.col("a").alias("unit_key")).agg(F.least(F.col("a"), F.min("b")).alias("id")), "labels")
     while True:
-        named = keys.join(labels.df, ["source_file", "unit_key"])
-        least = named.groupBy("source_file", "key").agg(F.min("id").alias("low"))
-        near = keys.join(least, ["source_file", "key"]).groupBy("source_file", "unit_key").agg(F.min("low").alias("low"))
-        own = labels.df.join(near, ["source_file", "unit_key"], "left").select("source_file", "unit_key", "id", F.least("id", F.coalesce("low", "id")).alias("low"))
-        jump = own.select("source_file", F.col("unit_key").alias("low"), F.col("low").alias("lower"))
-        step = Cut(own.join(jump, ["source_file", "low"], "left").select("source_file", "unit_key", F.col("id").alias("was"), F.least("low", F.coalesce("lower", "low")).alias("id")), "labels")
-        changed = not step.df.filter("id <> was").isEmpty()
+        near = both.join(labels.df.select("source_file", F.col("unit_key").alias("b"), "id"), ["source_file", "b"]).groupBy("source_file", F.col("a").alias("unit_key")).agg(F.min("id").alias("low"))
+        own = labels.df.join(near, ["source_file", "unit_key"]).select("source_file", "unit_key", F.col("id").alias("was"), F.least("id", "low").alias("low"))
+        jump = labels.df.select("source_file", F.col("unit_key").alias("low"), F.col("id").alias("lower"))
+        seen = Observation()
+        step = Cut(own.join(jump, ["source_file", "low"], "left").select("source_file", "unit_key", "was", F.least("low", F.coalesce("lower", "low")).alias("id")).observe(seen, F.count_if(F.col("id") != F.col("was")).alias("moved")), "labels")
         labels.drop()
         labels = step
-        if not changed:
-            return labels.df.select("source_file", "unit_key", "id")
+        if not seen.get.get("moved"):
+            break
+    found = labels.df.select("source_file", "unit_key", "id")
+    return unit_rows.select("source_file", "unit_key").distinct().join(found, ["source_file", "unit_key"], "left").select("source_file", "unit_key", F.coalesce("id", "unit_key").alias("id"))
 
 
 def joined_descriptions(parts: Column) -> Column:
@@ -202,5 +207,6 @@ def consolidate(extractions: DataFrame) -> DataFrame:
     """
     rows = Cut(units(extractions.select(*COLUMNS).filter("chunk_id is not null and source_file is not null")), "units").df
     rest = Cut(remaining(rows), "remaining").df
-    both = category_requirements(rows).unionByName(merged(rest, identity_groups(rest)))
+    # Read three times: for the positions, the references to them and the requirements themselves.
+    both = Cut(category_requirements(rows).unionByName(merged(rest, identity_groups(rest))), "merged").df
     return with_references(both)
