@@ -141,11 +141,6 @@ def language_code(c: Column | str) -> Column:
     return F.nullif(F.substring(F.lower(as_column(c)), 1, 2), F.lit(""))
 
 
-def ordered_union(rows: Column, order: str, items: str) -> Column:
-    """Of collected structs: their arrays in order, each entry at its first place."""
-    return F.array_distinct(F.flatten(F.transform(F.array_sort(rows), lambda r: r[items])))
-
-
 RANKS = {"confidence": ("low", "medium", "high"), "priority": ("optional", "should", "must")}
 
 

@@ -16,6 +16,7 @@ from tenderloom.functions import text as T
 from tenderloom.operators import consolidate as C
 from tenderloom.operators import evaluate, extract, grounding, layout, link, nested, profile, segment, tree
 from tenderloom.operators.latest import latest, latest_requirements
+from tenderloom.plans import prompts
 from tenderloom.runtime import table
 
 REQUIREMENT = ["id", "source_file", "source_chunk_ids", "merge_record", "bullet_point", "description_en", "description_de", "priority", "equivalence_allowed", "confidence", "standards", "referenced_annexes", "category_code", "section_heading", "item_number", "source_language", "req_order"]
@@ -245,11 +246,51 @@ b as (select doc_id, page, unnest(bands).ord as ord, unnest(bands).band as line_
 select doc_id, page, line_no, md5(trim(regexp_replace(string_agg(case when gap then ' ' || str else str end, '' order by x, ord), '[{WS_SQL}]+', ' ', 'g'))) as text, arg_min(x, (x, ord)) as x, max(y) as y, arg_max(x + width, (x, ord)) - arg_min(x, (x, ord)) as width, max(size) as font_size from z group by 1, 2, 3"""
 )
 def glyph_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The words of documents as glyphs, six a row, rows uneven in height."""
+    return layout.lines(layout.glyphs(text_items(spark, d))).withColumn("text", F.md5("text"))
+
+
+def text_items(spark: SparkSession, d: str) -> DataFrame:
+    """The words of documents as text items, six a row, rows uneven in height; every size is given by the height where the transform has none."""
     w = table(spark, d, "documents").filter("doc_id is not null").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("ord", "str"))
     row, col = F.floor(F.col("ord") / 6), F.col("ord") % 6
-    g = w.select(F.col("doc_id").cast("string").alias("doc_id"), F.floor(row / 40).cast("int").alias("page"), "ord", "str", (col * 80.0).alias("x"), (700.0 - (row % 40) * 12 - (col % 3) * 2).alias("y"), (F.length("str") * 5.0).alias("width"), F.when(F.length("str") > 12, 12.0).otherwise(10.0).alias("size"))
-    return layout.lines(g).withColumn("text", F.md5("text"))
+    size = F.when(F.length("str") > 12, 12.0).otherwise(10.0)
+    x, y = (col * 80.0), (700.0 - (row % 40) * 12 - (col % 3) * 2)
+    given = F.when(F.col("ord") % 2 == 0, size).otherwise(0.0)
+    return w.select(F.col("doc_id").cast("string").alias("doc_id"), F.floor(row / 40).cast("int").alias("page"), "ord", "str", F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0), given, x.cast("double"), y.cast("double")).alias("transform"), (F.length("str") * 5.0).alias("width"), size.alias("height"), (col == 5).alias("has_eol"))
+
+
+@query(
+    rf""", w as (select doc_id::varchar as doc_id, unnest(parts) as str, unnest(range(len(parts))) as ord from (select doc_id, regexp_split_to_array(text, '[\t\n\x0b\f\r ]+') as parts from documents where doc_id is not null))
+select doc_id, floor(floor(ord / 6) / 40)::int as page, md5(regexp_replace(string_agg(str || case when ord % 6 = 5 then chr(10) else ' ' end, '' order by ord), '[{WS_SQL}]+$', '')) as digest from w group by 1, 2"""
+)
+def page_texts(spark: SparkSession, d: str) -> DataFrame:
+    return profile.page_text(text_items(spark, d)).select("doc_id", "page", F.md5("text").alias("digest"))
+
+
+_HEADERS = f"""tl as (select distinct doc_id, page, {trim_sql('text')} as line from lines1), np as (select doc_id, count(*) as pages from pages1 group by 1),
+hd as (select doc_id, list(line order by line) as headers from (select doc_id, line, count(*) as n_pages from tl where length(line) > 3 group by 1, 2) join np using (doc_id) where n_pages >= 0.02 * pages group by 1)"""
+
+
+@query(
+    rf""", {_HEADERS}, st as (select doc_id, page, list_reduce([{inline_sql('text')}] || coalesce(headers, []), lambda t, h: replace(t, h, '')) as t from pages1 left join hd using (doc_id))
+select doc_id, page, md5({trim_sql(rf"regexp_replace(regexp_replace(t, 'EUR[{WS_SQL}]+(?:PP|EP|SO|ST)[{WS_SQL}]+EUR', '', 'g'), '([^A-Za-z0-9_]|^)[0-9]+[.][0-9]+[{WS_SQL}]+LO([^A-Za-z0-9_]|$)', '\1\2', 'g')")}) as digest from st"""
+)
+def normalized_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages without the lines that many pages of their document have, and without stranded price labels."""
+    p = pages(spark, d)
+    headers = profile.running_headers(p, profile.Profiling(repeated_share=0.02)).groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("headers"))
+    rows = p.join(headers, "doc_id", "left")
+    return rows.select("doc_id", "page", F.md5(T.normalize_page("text", F.coalesce("headers", F.array().cast("array<string>")), True)).alias("digest"))
+
+
+@query(
+    rf""", l as (select doc_id, page, line_no, {trim_sql(inline_sql("case when line_no % 3 = 0 then 'EUR' || repeat(' PP', (line_no % 4)::int) else text end"))} as t from lines1)
+select doc_id, page, line_no, t as text from l where t <> '' and not regexp_matches(t, '^(?:EUR|PP|EP|SO|ST|LO|LM)(?:[{WS_SQL}]+(?:EUR|PP|EP|SO|ST|LO|LM))*$')"""
+)
+def column_noise_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Every third line is set to price column labels, all documents are said to have such; no line repeats on half of the pages or is dropped for it."""
+    made = lines(spark, d).withColumn("text", F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("EUR"), F.repeat(F.lit(" PP"), (F.col("line_no") % 4).cast("int")))).otherwise(F.col("text")))
+    return segment.kept_lines(made.withColumn("strip_noise", F.lit(True)), 9.0).select("doc_id", "page", "line_no", "text")
 
 
 # Extraction.
@@ -313,6 +354,14 @@ def content_halves(spark: SparkSession, d: str) -> DataFrame:
     return chunks(spark, d).filter(T.token_estimate("content") > 3000).select("chunk_id", F.posexplode(extract.halves(F.col("content"))).alias("half", "text")).select("chunk_id", "half", F.length("text").cast("long").alias("n_chars"))
 
 
+_REGIONS = "case document_region when 'lv-position' then '{}' when 'vorbemerkungen' then '{}' else '{}' end".format(*[prompts.REGIONS[r].replace("'", "''") for r in ("lv-position", "vorbemerkungen", "section")])
+
+
+@query("select chunk_id, md5('" + (prompts.EXTRACT + "\n\nThe block: ").replace("'", "''") + f"' || {_REGIONS}) as digest from chunks1")
+def system_prompts(spark: SparkSession, d: str) -> DataFrame:
+    return chunks(spark, d).select("chunk_id", F.md5(prompts.by_region(prompts.EXTRACT, F.col("document_region"))).alias("digest"))
+
+
 # Consolidation.
 @query("select source_file, chunk_id, ext_ord, chunk_id || '#' || (row_number() over (partition by source_file, chunk_id order by ext_ord) - 1) as unit_key from extractions1")
 def unit_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -463,6 +512,17 @@ def link_topk(spark: SparkSession, d: str) -> DataFrame:
     return link.top_candidates(link.candidates(r), r).select("source_file", "block", "a_id", "b_id", "in_block", "rank")
 
 
+@query(
+    f""", {_CAND}, c as (select id, bullet_point as t, case when length(description_en) > 700 then description_en[1:700] || '…' else description_en end as d from requirements1)
+select a_id, b_id, md5(concat_ws(chr(10), 'Requirement A:', 'Title: ' || a.t, a.d, '', 'Requirement B:', 'Title: ' || b.t, b.d)) as digest from top join c a on a.id = a_id join c b on b.id = b_id"""
+)
+def pair_messages(spark: SparkSession, d: str) -> DataFrame:
+    r = requirements(spark, d)
+    side = lambda s: r.select(F.col("id").alias(f"{s}_id"), F.col("bullet_point").alias(f"{s}_title"), F.col("description_en").alias(f"{s}_text"))
+    both = link.top_candidates(link.candidates(r), r).join(side("a"), "a_id").join(side("b"), "b_id")
+    return both.select("a_id", "b_id", F.md5(link.pair_message(*[F.col(c) for c in ("a_title", "a_text", "b_title", "b_text")])).alias("digest"))
+
+
 def _seeded_verdicts(spark: SparkSession, d: str) -> DataFrame:
     """The verdicts and, since few of them meet a candidate, a ``same`` for candidates whose ids end alike."""
     r = requirements(spark, d)

@@ -30,7 +30,7 @@ def json_pages(content: bytes) -> list[list[dict]]:
 
 
 def files(spark: SparkSession, folder: str | None = None, paths: list[str] | None = None, pattern: str = PDF) -> DataFrame:
-    """(path, content) of the files given and of those in a folder (not below it), which match ``pattern``; given ones first, none dropped as repeated. A folder's files sort by path."""
+    """(turn, path, content) of the files given and of those in a folder (not below it), which match ``pattern``, none dropped as repeated. The order to show them in is ``turn`` (0 for given files), then ``path``; rows come as read."""
     parts = []
     if paths:
         parts.append(spark.read.format("binaryFile").load(paths).select(F.lit(0).alias("turn"), "path", "content"))
