@@ -176,6 +176,7 @@ def _named(name: str) -> str:
 
 
 def _sql() -> dict[str, str]:
+    space = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
     words = r"list_transform(regexp_extract_all({x}, '[\p{{L}}\p{{N}}]+'), lambda w: lower(w))"
     return {
         "p1_found": rf"""with recursive {_REQUIREMENTS},
@@ -214,6 +215,15 @@ select doc_id, item_id, len(w)::int as item_words, max(n)::int as longest from r
         "p8_found": f"""with d as (select doc_id, {words.format(x="text")} as w from documents), i as (select item_id, {words.format(x="text")} as w from benchmark),
 g as (select item_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)), h as (select doc_id, array_to_string(w[k:k + 11], ' ') as run from (select *, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12))
 select distinct doc_id, item_id from g join h using (run)""",
+        "p10_paragraph_clusters": rf"""with recursive raw as (select doc_id, string_split(regexp_replace(text, '([.!?]{space}+|\n{space}*\n)', '\1' || chr(1), 'g'), chr(1)) as parts from documents where text is not null),
+pos as (select doc_id, parts[i] as part, coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x))), 0)::int as begin from (select *, unnest(range(1, len(parts) + 1)) as i from raw)),
+para as (select doc_id, begin, regexp_replace(part, '(?:([.!?]){space}+|\n{space}*\n)$', '\1') as text from pos), placed as (select * from para where not regexp_full_match(text, '{space}*')),
+once as (select text, min((doc_id, begin)) as first, count(*) as copies, row_number() over (order by text) as pid from placed group by text),
+sh as (select pid, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as grams from (select pid, list_filter(regexp_split_to_array(lower(text), '{space}+'), lambda x: x <> '') as w from once) where len(w) >= 5),
+x as (select pid, len(grams) as n, unnest(grams) as g from sh), e as (select a.pid as a, b.pid as b from x a join x b on a.g = b.g and a.pid <> b.pid group by 1, 2, a.n, b.n having count(*) >= 0.8 * (a.n + b.n - count(*))),
+r(pid, other) as (select pid, pid from once union select r.pid, e.b from r join e on e.a = r.other), c as (select pid, min(other) as root from r group by 1),
+h as (select root, min(first) as head, sum(copies)::bigint as members from once join c using (pid) group by 1 having sum(copies) > 1)
+select doc_id, begin, head[1] as cluster_doc, head[2] as cluster_begin, members, (doc_id, begin) <> head as removed from placed join once using (text) join c using (pid) join h using (root)""",
         "p10_found": """with w as (select doc_id, p, md5(text[p:p + 449]) as h from (select doc_id, text, unnest(range(1, length(text) - 448)) as p from documents where length(text) >= 450)),
 s as (select h from w group by 1 having min(doc_id) <> max(doc_id)), m as (select doc_id, p, p - lag(p) over (partition by doc_id order by p) as gap from w join s using (h))
 select doc_id, sum(case when gap is null then 450 else least(450, gap) end)::bigint as shared_chars from m group by 1""",
