@@ -99,38 +99,53 @@ def outline(text: Column) -> Column:
     return F.xxhash64(F.regexp_replace(text, r"[^\x20-\x3a?@\n]+", ""))
 
 
-def classes(values: DataFrame, value: str) -> DataFrame:
+def classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """(digest, canonical, n_forms): the canonical member of each class of two or more distinct values, for each of its members.
 
-    ``values`` has ``value``, its ``digest`` and the ``outline`` of its mapped
-    form. Values are reduced to distinct ones first, so a text in a third of
-    all rows is one row, and only those whose outline another one shares are
-    collated; all others are alone in their class. Values are of one class if
-    their mapped forms are equal under the collation and have the same digits.
-    Nulls are left out.
+    ``rows`` has the ``digest`` of each value and the ``outline`` of its mapped
+    form, ``texts`` the digest and the ``value`` itself, repeats allowed. Only
+    values whose outline another one shares are looked up and collated, once
+    each, so a text in a third of all rows is one row; all others are alone in
+    their class. Values are of one class if their mapped forms are equal under
+    the collation and have the same digits. Nulls are left out.
     """
-    outlines = values.filter("digest is not null").select("digest", "outline").distinct().groupBy("outline").agg(F.count("*").alias("_n")).filter("_n > 1").select("outline")
-    able = values.join(outlines, "outline", "left_semi").groupBy("digest").agg(F.min(value).alias(value))
-    able = able.withColumn("_mapped", mapped(F.col(value))).select("digest", value, F.collate("_mapped", "UNICODE").alias("_form"), digits(F.col("_mapped")).alias("_digits"))
-    forms = able.groupBy("_form", "_digits").agg(F.min(value).alias("canonical"), F.count("*").alias("n_forms")).filter("n_forms > 1")
+    once = rows.filter("digest is not null").select("digest", "outline").distinct()
+    shared = once.groupBy("outline").agg(F.count("*").alias("_n")).filter("_n > 1").select("outline")
+    able = texts.join(once.join(shared, "outline").select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min("value").alias("value"))
+    able = able.withColumn("_mapped", mapped(F.col("value"))).select("digest", "value", F.collate("_mapped", "UNICODE").alias("_form"), digits(F.col("_mapped")).alias("_digits"))
+    forms = able.groupBy("_form", "_digits").agg(F.min("value").alias("canonical"), F.count("*").alias("n_forms")).filter("n_forms > 1")
     return able.select("digest", "_form", "_digits").join(forms, ["_form", "_digits"]).select("canonical", "n_forms", "digest")
 
 
+def _digested(chunks: DataFrame) -> DataFrame:
+    """(chunk_id, digest, outline) of the valid row of each chunk; texts themselves are not moved."""
+    rows = chunks.select("chunk_id", "loaded_at", F.md5("content").alias("digest"), outline(mapped(F.col("content"))).alias("outline"))
+    return Cut(latest(rows, "chunk_id", ["loaded_at"], ["chunk_id", "digest", "outline"]), "digests").df
+
+
+def _texts(chunks: DataFrame) -> DataFrame:
+    return chunks.filter("content is not null").select(F.md5("content").alias("digest"), F.col("content").alias("value"))
+
+
 def canonical_chunks(chunks: DataFrame) -> DataFrame:
     """(chunk_id, content, digest, canonical, n_forms): every chunk with the one form of its content.
 
-    A redelivered ``chunk_id`` counts once. ``n_forms`` is the number of
-    different spellings of the class. Null contents have a null form; the empty
-    text has the form of texts without any visible character.
+    A redelivered ``chunk_id`` counts once (of rows tied on ``loaded_at`` that
+    of the greatest digest). ``n_forms`` is the number of different spellings of
+    the class. Null contents have a null form; the empty text has the form of
+    texts without any visible character.
     """
-    once = Cut(latest(chunks, "chunk_id", ["loaded_at"], ["chunk_id", "content"]).withColumns({"digest": F.md5("content"), "outline": outline(mapped(F.col("content")))}), "chunks").df
-    found = once.join(classes(once, "content"), "digest", "left")
+    once = _digested(chunks)
+    texts = _texts(chunks)
+    whole = texts.groupBy("digest").agg(F.min("value").alias("content"))
+    found = once.select("chunk_id", "digest").join(whole, "digest", "left").join(classes(once, texts), "digest", "left")
     return found.select("chunk_id", "content", "digest", F.coalesce("canonical", "content").alias("canonical"), F.when(F.col("content").isNotNull(), F.coalesce("n_forms", F.lit(1))).alias("n_forms"))
 
 
 def same_to_a_reader(chunks: DataFrame) -> DataFrame:
     """(a_chunk_id, b_chunk_id), smaller first: chunks whose contents differ as stored but have one canonical form."""
-    able = canonical_chunks(chunks).filter("n_forms > 1").select("chunk_id", "digest", F.md5("canonical").alias("form"))
+    once = _digested(chunks)
+    able = once.select("chunk_id", "digest").join(classes(once, _texts(chunks)).select("digest", F.md5("canonical").alias("form")), "digest")
     a = able.select(F.col("chunk_id").alias("a_chunk_id"), F.col("digest").alias("a_digest"), "form")
     b = able.select(F.col("chunk_id").alias("b_chunk_id"), F.col("digest").alias("b_digest"), "form")
     return a.join(b, "form").filter("a_chunk_id < b_chunk_id and a_digest <> b_digest").select("a_chunk_id", "b_chunk_id")
