@@ -1,5 +1,8 @@
+import os
 import random
 import re
+import subprocess
+import sys
 from datetime import datetime
 from pathlib import Path
 
@@ -324,6 +327,25 @@ def test_fusion_beats_the_majority(spark):
     assert right > 0.9 and right > majority + 0.15
 
 
+def test_truth_model_against_plain_python(spark):
+    """The rounds over patterns give what expectation-maximisation over every single value gives."""
+    rows, _ = claims()
+    facts = fusion.evidence(spark.createDataFrame(rows, "g string, s string, vals array<string>"), ["g"], ("vals",), "s")
+    judged, sources = fusion.infer_truth(facts, 5)
+    each = [(g, v, [(c["source"], c["pos"], c["neg"]) for c in p]) for g, v, p in values(facts, "g", "value", "pattern")]
+    p = [sum(a for _, a, _ in x) / sum(a + b for _, a, b in x) for *_, x in each]
+    for _ in range(5):
+        prior, rate = (sum(p) + 1) / (len(p) + 2), {}
+        for s in ("good", "poor"):
+            t = [(q, a, b) for q, (*_, x) in zip(p, each, strict=True) for n, a, b in x if n == s]
+            rate[s] = ((sum(q * a for q, a, _ in t) + 4) / (sum(q * (a + b) for q, a, b in t) + 6), 1 - (sum((1 - q) * a for q, a, _ in t) + 1) / (sum((1 - q) * (a + b) for q, a, b in t) + 10))
+        odds = [np.log(prior / (1 - prior)) + sum(a * np.log(rate[n][0] / (1 - rate[n][1])) + b * np.log((1 - rate[n][0]) / rate[n][1]) for n, a, b in x) for *_, x in each]
+        p = [1 / (1 + np.exp(-o)) for o in odds]
+    assert {s: (a, b) for s, a, b in values(sources, "source", "sensitivity", "specificity")} == {s: pytest.approx(v, abs=1e-9) for s, v in rate.items()}
+    got = {(g, v): x for g, v, x in values(facts.join(judged, ["field", "pattern"]), "g", "value", "p_true")}
+    assert got == {(g, v): pytest.approx(x, abs=1e-9) for (g, v, _), x in zip(each, p, strict=True)}
+
+
 def test_best_members(spark):
     t = [datetime(2024, 1, d) for d in range(1, 9)]
     row = lambda i, item, text, conf, prio, d, std=None, file="f": (i, file, item, text, conf, prio, t[d], std, [], ("standalone",), "de")
@@ -587,6 +609,27 @@ def test_short_paragraphs_are_clustered(spark):
     assert sorted(got) == [(1, 0, 1, 0, False), (1, 9, 1, 9, False), (2, 0, 1, 9, True), (2, 31, 1, 0, True)]
 
 
+def test_workers_find_the_package_from_anywhere(tmp_path):
+    """A driver started elsewhere, with frames of its own, hands the code to its workers."""
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from tenderloom.llm import leaks, pieces
+from tenderloom.operators import nested
+text = " ".join(f"w{{i}}" for i in range(20))
+one = leaks.leaks(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(2, text)], "item_id long, text string")).count()
+two = pieces.oversized_pieces(spark.createDataFrame([("a", "x " * 9000)], "chunk_id string, content string").selectExpr("*", "current_timestamp() as loaded_at")).count()
+three = nested.tree_nodes(spark.createDataFrame([("t", "{{}}")], "tree_id string, tree_json string").selectExpr("*", "current_timestamp() as produced_at", "current_timestamp() as loaded_at")).count()
+print("rows", one, two, three)
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 1 2 1" in out.stdout, out.stderr[-2000:]
+
+
 # The registered queries.
 def sql_names():
     from tenderloom.llm import queries
