@@ -158,23 +158,32 @@ def learn(records: list[tuple[str, str]], rounds: int = ROUNDS) -> Tables:
 
 def _cover(left: list[list[str]], right: list[list[str]], table: dict, weights: dict, unknown: float) -> np.ndarray:
     """Share of each right sentence's weight that each left sentence's bag covers, through an inverted index of the right words."""
-    index: dict[str, list[int]] = defaultdict(list)
-    weight = [{w: weights.get(w, unknown) for w in s} for s in right]
+    index: dict[str, list[tuple[int, float]]] = defaultdict(list)
+    total = []
     for j, s in enumerate(right):
+        sum_ = 0.0
         for w in s:
-            index[w].append(j)
-    out = np.zeros((len(left), len(right)))
-    for i, s in enumerate(left):
+            x = weights.get(w, unknown)
+            index[w].append((j, x))
+            sum_ += x
+        total.append(sum_)
+    rows = []
+    for s in left:
         bag_: dict[str, float] = {}
         for w in s:
-            bag_[w] = 1.0
-            for t, c in table.get(w, {}).items():
-                bag_[t] = max(bag_.get(t, 0.0), c)
+            if w in index:
+                bag_[w] = 1.0
+            known = table.get(w)
+            if known:
+                for t in known:
+                    if t in index and known[t] > bag_.get(t, 0.0):  # others cover nothing here
+                        bag_[t] = known[t]
+        row = [0.0] * len(right)
         for t, c in bag_.items():
-            for j in index.get(t, ()):
-                out[i, j] += c * weight[j][t]
-    total = np.array([sum(w.values()) for w in weight])
-    return out / np.maximum(total, 1e-9)
+            for j, x in index[t]:
+                row[j] += c * x
+        rows.append(row)
+    return np.array(rows) / np.maximum(np.array(total), 1e-9)
 
 
 def _one_side(cover: np.ndarray, weight: np.ndarray, joined: bool) -> float:
