@@ -7,6 +7,7 @@ from datetime import datetime
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,37 @@ def test_alignment_learns_from_all_records(spark):
     assert one.typical == pytest.approx(other.typical, rel=1e-3)
 
 
+def test_names_take_no_room_in_the_tables(spark, monkeypatch):
+    rng = random.Random(4)
+    records = []
+    for k in range(240):
+        en, de, _ = bilingual(rng)
+        name = f"name{chr(97 + k % 26)}"
+        records.append((f"{en} Depot {name} opens.", f"{de} Lager {name} öffnet."))
+    df = spark.createDataFrame(records, "description_en string, description_de string")
+    one, other = alignment.learned(df), alignment.learn(records)
+    for tables in (one, other):
+        for words in (tables.forward, tables.backward, tables.weight_en, tables.weight_de):
+            assert words and not any(w.startswith("name") for w in words)
+    monkeypatch.setattr(alignment, "CELLS", 100)  # many blocks a round
+    few = alignment.learned(df)
+    for a, b, c in ((one.forward, other.forward, few.forward), (one.backward, other.backward, few.backward)):
+        assert {w: pytest.approx(v, abs=1e-3) for w, v in b.items()} == a and {w: pytest.approx(v, abs=1e-3) for w, v in c.items()} == a
+
+
+def test_records_align_together_as_one_by_one(monkeypatch):
+    rng = random.Random(6)
+    texts = [(*bilingual(rng, n)[:2],) for n in (3, 4, 5, 8) for _ in range(60)] + [("A.", "..."), ("", "B."), ("Din 4102. ?! Steel.", "Stahl. Din 4102.")]
+    tables = alignment.learn(texts)
+    batch = next(alignment._bags(iter([pd.DataFrame(texts, columns=["description_en", "description_de"])])))
+    split = [([alignment.bag(s) for s in alignment.sentences(t)] for t in pair) for pair in texts]
+    want = {k: pairs for k, (a, b) in enumerate(split) if (pairs := alignment.align_bags(a, b, tables))}
+    for cells in (alignment.AT_ONCE, 500):
+        monkeypatch.setattr(alignment, "AT_ONCE", cells)
+        assert {k: pairs for k, pairs in alignment._align(batch, tables) if pairs} == want
+    assert len(want) > 200
+
+
 # Pieces.
 def random_text(rng, n):
     kinds = ["\n\n", "\n", ". ", " ", " ", " ", "\nHEAD LINE\n", "\n• item ", "\n01.01.0010 Pos "]
