@@ -37,8 +37,9 @@ ROUNDS, AGAIN = 6, 1
 CELLS, SLICE, AT_ONCE = 8_000_000, 64, 4_000_000
 #: A word of the tables occurs in this many of the records that they are learned from.
 LEAST_RECORDS = 4
-#: A word is alike in both languages if so many of the records that hold it hold it on both sides: it translates into itself and is not learned.
-ALIKE = 0.5
+#: A word is alike in both languages if this share of the records that hold it on the side where it is rarer hold it on both sides,
+#: and that of those where it is not: it translates into itself and is not learned.
+ALIKE, LEAST_ALIKE = 0.8, 0.1
 #: A translation is kept if it is this many times likelier than by chance, and at most so many a word.
 LIFT, TRANSLATIONS = 4.0, 24
 #: Share of a sentence's weight that its partner must cover: of the better covered one in a match, and in a growing match.
@@ -150,7 +151,7 @@ def learn(records: list[tuple[str, str]], rounds: int = ROUNDS) -> Tables:
     split = [(sentences(a), sentences(b)) for a, b in records]
     bags = [(bag(" ".join(a)), bag(" ".join(b))) for a, b in split]
     left, right, alike = Counter(w for a, _ in bags for w in a), Counter(w for _, b in bags for w in b), Counter(w for a, b in bags for w in {*a} & {*b})
-    known = tuple({w for w, n in c.items() if n >= LEAST_RECORDS and not itself(w) and alike[w] < ALIKE * (left[w] + right[w] - alike[w])} for c in (left, right))
+    known = tuple({w for w, n in c.items() if n >= LEAST_RECORDS and not itself(w) and (alike[w] < ALIKE * min(left[w], right[w]) or alike[w] < LEAST_ALIKE * max(left[w], right[w]))} for c in (left, right))
     tables = _tables(bags, rounds, known)
     for _ in range(AGAIN):
         rows = []
@@ -485,7 +486,7 @@ def _held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _vocabulary(bags: DataFrame) -> list[list[str]]:
     """The words of either side that occur in LEAST_RECORDS, neither alike in both nor standing for themselves."""
     counted = bags.mapInPandas(_held, "w string, en long, de long, both long").filter(~F.col("w").rlike("[0-9]")).groupBy("w").agg(*[F.sum(c).alias(c) for c in ("en", "de", "both")])
-    rows = counted.filter((F.greatest("en", "de") >= LEAST_RECORDS) & (F.col("both") < ALIKE * (F.col("en") + F.col("de") - F.col("both")))).toPandas()
+    rows = counted.filter((F.greatest("en", "de") >= LEAST_RECORDS) & ((F.col("both") < ALIKE * F.least("en", "de")) | (F.col("both") < LEAST_ALIKE * F.greatest("en", "de")))).toPandas()
     return [sorted(w for w in rows["w"][rows[c] >= LEAST_RECORDS] if not itself(w)) for c in ("en", "de")]
 
 
